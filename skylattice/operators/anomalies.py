@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.storage import materialize
 from .quantiles import exact_quantiles
 
 FEATURES = ["speed_kmh", "altitude", "vertical_rate"]
@@ -144,6 +145,20 @@ def isolation_scores(
     return df.withColumn("isolation_score", score(*features))
 
 
+def flag_outliers(
+    scored: DataFrame, *, contamination: float = 0.05, rows: int | None = None
+) -> DataFrame:
+    """Rows scored below the ``contamination`` quantile, labelled as in the stored log.
+
+    ``scored`` is read more than once, so it should be stored or persisted.
+    """
+    limit = exact_quantiles(scored, "isolation_score", [contamination], rows=rows)[0]
+    outliers = scored.where(F.col("isolation_score") < limit)
+    return outliers.drop("isolation_score").withColumns(
+        {"anomaly_score": F.lit(FLAG), "reason": F.lit(REASON)}
+    )
+
+
 def anomalies(
     df: DataFrame,
     *,
@@ -151,25 +166,15 @@ def anomalies(
     contamination: float = 0.05,
     seed: int = 42,
     key: str = "icao24",
-    rows: int | None = None,
 ) -> DataFrame:
-    """The most isolated share of ``df``, labelled -1 as in the stored log.
+    """The most isolated share of ``df``; scores are stored in the shared folder.
 
-    ``df`` is read several times, so it should be stored (``sources.storage.materialize``)
-    or persisted by the caller.
+    ``df`` itself is read three times (count, sample, scores): store it beforehand if it
+    is costly to compute.
     """
-    rows = df.count() if rows is None else rows
-    flagged = df.withColumn("anomaly_score", F.lit(FLAG)).withColumn("reason", F.lit(REASON))
+    rows = df.count()
     if rows == 0:
-        return flagged
+        empty = df.withColumn("isolation_score", F.lit(None).cast("double"))
+        return flag_outliers(empty, contamination=contamination, rows=0)
     scored = isolation_scores(df, rows=rows, trees=trees, seed=seed, key=key)
-    kept = scored.select("isolation_score").persist()
-    try:
-        limit = exact_quantiles(kept, "isolation_score", [contamination], rows=rows)[0]
-    finally:
-        kept.unpersist()
-    return (
-        scored.where(F.col("isolation_score") < limit)
-        .withColumns({"anomaly_score": F.lit(FLAG), "reason": F.lit(REASON)})
-        .drop("isolation_score")
-    )
+    return flag_outliers(materialize(scored), contamination=contamination, rows=rows)

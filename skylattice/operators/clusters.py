@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 FEATURES = ["speed_kmh", "altitude"]
+ROWS_PER_PARTITION = 200_000
 
 
 def cluster(
@@ -18,17 +19,19 @@ def cluster(
     """``df`` with a ``cluster`` number; clusters count up by speed, then altitude.
 
     The features are used unscaled. The fit stops when the centres move less than 1 %
-    of the features' mean spread. Rows are laid out by ``key`` for the fit, so that the
-    result does not depend on how ``df`` happens to be partitioned.
+    of the features' mean spread. The starting centres depend on how rows are laid out,
+    so for the fit the layout is made to follow from the rows alone.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = df.agg(
+        F.count(F.lit(1)).alias("n"), sum(F.var_pop(c) for c in FEATURES).alias("v")
+    ).first()
+    if not spread["n"]:
+        return df.withColumn("cluster", F.lit(0))
+    tolerance = math.sqrt(1e-4 * spread["v"] / len(FEATURES))
+    partitions = 1 + spread["n"] // ROWS_PER_PARTITION
     ordered = (
         df.select(key, *FEATURES).repartition(partitions, key).sortWithinPartitions(key, *FEATURES)
     )
-    spread = df.agg(sum(F.var_pop(c) for c in FEATURES).alias("v")).first()["v"]
-    if spread is None:
-        return df.withColumn("cluster", F.lit(0))
-    tolerance = math.sqrt(1e-4 * spread / len(FEATURES))
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="_features")
     estimator = KMeans(
         k=k,

@@ -10,6 +10,7 @@ from .pick import one_per_key
 COLUMNS = ["icao24", "speed_kmh", "altitude", "vertical_rate", "region", "timestamp"]
 #: Learning runs only on more rows than this.
 MIN_ROWS = 10
+PROBE_ROWS_PER_AIRCRAFT = 50
 
 
 def aircraft_rows(rows: DataFrame) -> DataFrame:
@@ -19,14 +20,19 @@ def aircraft_rows(rows: DataFrame) -> DataFrame:
     return one_per_key(rows.select(*COLUMNS).dropna(), ["icao24"], order)
 
 
-def enough_rows(aircraft: DataFrame, *, min_rows: int = MIN_ROWS) -> bool:
-    return aircraft.limit(min_rows + 1).count() > min_rows
+def enough_rows(rows: DataFrame, *, min_rows: int = MIN_ROWS) -> bool:
+    """Whether complete rows of more than ``min_rows`` aircraft exist.
 
+    The first few rows nearly always tell; only otherwise all ids are looked at.
+    """
+    ids = rows.select(*COLUMNS).dropna().select("icao24")
+    probe = ids.take(PROBE_ROWS_PER_AIRCRAFT * (min_rows + 1))
+    if len({row["icao24"] for row in probe}) > min_rows:
+        return True
+    return ids.distinct().limit(min_rows + 1).count() > min_rows
 
-def ml_input(rows: DataFrame, *, min_rows: int = MIN_ROWS) -> DataFrame:
-    """``aircraft_rows``, or nothing when there are too few of them.
 
-    The count is a subquery over the same rows; Spark reuses their shuffle for it.
-    """
+def ml_input(rows: DataFrame, *, min_rows: int = MIN_ROWS) -> DataFrame:
+    """``aircraft_rows``, or nothing when there are too few of them."""
     aircraft = aircraft_rows(rows)
-    return aircraft.where(aircraft.agg(F.count(F.lit(1))).scalar() > min_rows)
+    return aircraft if enough_rows(rows, min_rows=min_rows) else aircraft.limit(0)

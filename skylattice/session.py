@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Call-site capture for error messages costs more than planning on small inputs.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

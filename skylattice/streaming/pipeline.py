@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import alerts, balance, learning, traffic
-from ..operators.anomalies import anomalies
+from ..operators.anomalies import flag_outliers, isolation_scores
 from ..operators.clusters import cluster, cluster_sizes
 from ..operators.flights import add_capacity, stamp
 from ..operators.forecast import forecast, top_forecasts
@@ -98,7 +98,9 @@ def process_batch(
         outliers = None
         aircraft_count = aircraft.count()
         if aircraft_count > learning.MIN_ROWS:
-            outliers = anomalies(aircraft, rows=aircraft_count)
+            scored = isolation_scores(aircraft, rows=aircraft_count).persist()
+            cached.append(scored)
+            outliers = flag_outliers(scored, rows=aircraft_count)
             tables.write("anomaly_logs", stamp(outliers, now), batch_id)
 
         if report is not None:

@@ -26,35 +26,27 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _square(x):
-    return x * x
-
-
 def flights_from(events: DataFrame) -> DataFrame:
     """Flight events, with the id and the day (batch) of the source row."""
-    event, user = F.col("event_id"), F.col("user_id")
     # Differences of zone-free times: independent of the session's time zone.
-    epoch = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
-    lat_step = (event * 7919 % 10007) / F.lit(10007.0)
-    lon_step = ((event * 104729 + user * 31) % 10009) / F.lit(10009.0)
-
-    def missing_every(n: int, value):
-        return F.when(event % n != 0, value)
-
-    return events.select(
+    steps = events.selectExpr(
+        "*",
+        "timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) AS epoch_s",
+        "(event_id * 7919 % 10007) / 10007D AS lat_step",
+        "((event_id * 104729 + user_id * 31) % 10009) / 10009D AS lon_step",
+    )
+    return steps.selectExpr(
         "event_id",
-        F.floor(epoch / DAY_SECONDS).alias("batch_id"),
-        F.concat(F.lit("u"), user.cast("string")).alias("icao24"),
-        missing_every(19, F.concat(F.upper("event_type"), (user % 10).cast("string"))).alias(
-            "callsign"
-        ),
-        missing_every(41, F.col("event_type")).alias("country"),
-        epoch.alias("timestamp"),
-        missing_every(53, F.lit(-10.0) + F.lit(50.0) * _square(lon_step)).alias("longitude"),
-        (F.lit(30.0) + F.lit(30.0) * _square(lat_step)).alias("latitude"),
-        (event * 31 % 13000 - 200).cast("double").alias("altitude"),
-        (F.col("value") * 4).alias("velocity"),
-        missing_every(17, (event * 13 % 41 - 20).cast("double")).alias("vertical_rate"),
+        f"floor(epoch_s / {DAY_SECONDS}) AS batch_id",
+        "concat('u', user_id) AS icao24",
+        "if(event_id % 19 = 0, null, concat(upper(event_type), user_id % 10)) AS callsign",
+        "if(event_id % 41 = 0, null, event_type) AS country",
+        "epoch_s AS timestamp",
+        "if(event_id % 53 = 0, null, -10D + 50D * (lon_step * lon_step)) AS longitude",
+        "30D + 30D * (lat_step * lat_step) AS latitude",
+        "double(event_id * 31 % 13000 - 200) AS altitude",
+        "value * 4 AS velocity",
+        "if(event_id % 17 = 0, null, double(event_id * 13 % 41 - 20)) AS vertical_rate",
     )
 
 
@@ -63,14 +55,12 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, nation = F.col("s_suppkey"), F.col("s_nationkey")
-    kinds = ["large_airport", "medium_airport", "small_airport", "heliport"]
-    kind = F.coalesce(*[F.when(key % 5 == i, name) for i, name in enumerate(kinds)])
-    return read(spark, sf_dir, "supplier").select(
-        (F.lit(30.0) + (key * 3571 + nation * 977) % 3001 / F.lit(100.0)).alias("ap_lat"),
-        (F.lit(-10.0) + (key * 2713 + nation * 1409) % 5003 / F.lit(100.0)).alias("ap_lon"),
-        F.when(nation % 9 != 0, F.concat(F.lit("XX-"), nation.cast("string"))).alias("iso_region"),
-        kind.alias("type"),
+    return read(spark, sf_dir, "supplier").selectExpr(
+        "30D + (s_suppkey * 3571 + s_nationkey * 977) % 3001 / 100D AS ap_lat",
+        "-10D + (s_suppkey * 2713 + s_nationkey * 1409) % 5003 / 100D AS ap_lon",
+        "if(s_nationkey % 9 = 0, null, concat('XX-', s_nationkey)) AS iso_region",
+        """CASE s_suppkey % 5 WHEN 0 THEN 'large_airport' WHEN 1 THEN 'medium_airport'
+           WHEN 2 THEN 'small_airport' WHEN 3 THEN 'heliport' END AS type""",
     )
 
 
