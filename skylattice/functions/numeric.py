@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_FRACTION_BITS = 53
+_HIGH_BITS, _LOW_BITS = 30, 31
 #: Noise below this many decimals must not decide a tie or a truncation.
 SNAP_DIGITS = 9
 
@@ -38,23 +38,28 @@ def round_scaled(x: Column, digits: int) -> Column:
 def _units(magnitude: Column, digits: int) -> Column:
     """``magnitude * 10**digits`` as a bigint, exact ties going to the even unit.
 
-    The fraction is scaled by 2**53 (exact for a double) and the decimal shift is done
-    in integers, so no rounding happens before the tie is decided.
+    The fraction is scaled by 2**61, which keeps every bit of any fraction near a tie,
+    and the decimal shift is done in integers (in two halves, to stay within 64 bits):
+    nothing is rounded before the tie is decided.
     """
     if not 0 <= digits <= 2:
         raise ValueError("digits must be 0, 1 or 2")
-    scale = 10**digits
+    scale = F.lit(10**digits).cast("long")
     whole = F.floor(magnitude)
-    bits = (magnitude - whole) * float(2**_FRACTION_BITS)
-    kept = F.floor(bits)
-    shifted = kept * F.lit(scale).cast("long")
-    units = whole * scale + F.shiftright(shifted, _FRACTION_BITS)
-    rest = shifted.bitwiseAND(F.lit(2**_FRACTION_BITS - 1).cast("long"))
-    half = F.lit(2 ** (_FRACTION_BITS - 1)).cast("long")
-    above = (rest > half) | ((rest == half) & ((bits > kept) | (units % 2 == 1)))
+    fraction = F.floor((magnitude - whole) * float(2 ** (_HIGH_BITS + _LOW_BITS)))
+    low = _last_bits(fraction, _LOW_BITS) * scale
+    high = F.shiftright(fraction, _LOW_BITS) * scale + F.shiftright(low, _LOW_BITS)
+    units = whole * scale + F.shiftright(high, _HIGH_BITS)
+    rest = _last_bits(high, _HIGH_BITS) * 2**_LOW_BITS + _last_bits(low, _LOW_BITS)
+    half = 2 ** (_HIGH_BITS + _LOW_BITS - 1)
+    above = (rest > half) | ((rest == half) & (units % 2 == 1))
     return units + above.cast("long")
 
 
+def _last_bits(x: Column, bits: int) -> Column:
+    return x.bitwiseAND(F.lit(2**bits - 1).cast("long"))
+
+
 def round_exact(x: Column, digits: int) -> Column:
     return F.signum(x) * _units(F.abs(x), digits) / float(10**digits)
 

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..schemas import TABLES
 
@@ -77,7 +77,7 @@ class ResultTables:
         )
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
-        schema = StructType(TABLES[name].fields).add(self.KEY, LongType())
+        schema = StructType([*TABLES[name].fields, StructField(self.KEY, LongType())])
         if not folder_names(spark, self.path(name)):
             return spark.createDataFrame([], schema)
         return spark.read.schema(schema).parquet(self.path(name))

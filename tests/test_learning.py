@@ -1,0 +1,197 @@
+import math
+
+import numpy as np
+import pytest
+from helpers import column
+from pyspark.sql import functions as F
+
+from skylattice.operators import anomalies, clusters, forecast, quantiles
+
+PROBABILITIES = [0.0, 0.05, 0.25, 0.5, 0.75, 1.0]
+
+
+def values(spark, numbers):
+    return spark.createDataFrame([(float(x),) for x in numbers], "x double")
+
+
+SETS = {
+    "spread": lambda rng: rng.uniform(-1e6, 1e6, 20_000),
+    "outliers": lambda rng: np.concatenate([rng.normal(size=20_000), [1e300, -1e300, 1e-300]]),
+    "one value holds a third": lambda rng: np.where(
+        np.arange(20_000) % 3 == 0, 7.25, rng.normal(size=20_000)
+    ),
+    "few values": lambda rng: rng.integers(0, 4, 20_000),
+    "equal": lambda rng: np.full(20_000, 3.5),
+    "two rows": lambda rng: np.array([1.0, 2.0]),
+    "one row": lambda rng: np.array([4.0]),
+}
+
+
+@pytest.mark.parametrize("name", SETS)
+def test_refined_quantiles_equal_the_sorted_ones(spark, name):
+    numbers = SETS[name](np.random.default_rng(3))
+    got = quantiles.exact_quantiles(values(spark, numbers), "x", PROBABILITIES, single_pass_rows=0)
+    assert got == pytest.approx(list(np.quantile(numbers, PROBABILITIES)), rel=1e-12)
+
+
+def test_both_ways_agree_and_skip_missing_values(spark):
+    numbers = values(spark, [1.0, 2.0, 4.0, math.nan]).unionByName(
+        spark.sql("SELECT cast(null AS double) AS x")
+    )
+    refined = quantiles.exact_quantiles(numbers, "x", [0.5, 0.75], single_pass_rows=0)
+    assert refined == quantiles.exact_quantiles(numbers, "x", [0.5, 0.75]) == [2.0, 3.0]
+
+
+def test_quantiles_of_nothing(spark):
+    assert quantiles.exact_quantiles(values(spark, []), "x", [0.5, 0.6]) == [None, None]
+
+
+# --- forecast
+
+
+def predicted(spark, rows, **options):
+    df = spark.createDataFrame(rows, "region string, timestamp bigint")
+    return {r["region"]: r["predicted"] for r in forecast.forecast(df, **options).collect()}
+
+
+def test_few_rows_predict_their_number(spark):
+    assert predicted(spark, [("a", 0), ("a", 600), ("b", 5)]) == {"a": 2.0, "b": 1.0}
+
+
+def test_one_bucket_predicts_its_count(spark):
+    assert predicted(spark, [("a", 0), ("a", 10), ("a", 29)]) == {"a": 3.0}
+
+
+def test_trend_is_extended_by_one_bucket(spark):
+    rising = [("a", 30 * b) for b in range(4) for _ in range(b + 1)]
+    falling = [("b", 30 * b) for b in range(2) for _ in range(10 - 9 * b)]
+    assert predicted(spark, rising + falling) == {"a": 5.0, "b": 0.0}
+
+
+def test_gaps_are_not_filled(spark):
+    base = 1_700_000_010 // 30 * 30
+    rows = [("a", base + 30 * b) for b, n in [(0, 1), (1, 2), (9, 4)] for _ in range(n)]
+    x, y = np.array([0, 1, 9]), np.array([1, 2, 4])
+    slope, intercept = np.polyfit(x, y, 1)
+    assert predicted(spark, rows)["a"] == round(slope * 10 + intercept, 1)
+
+
+def test_against_least_squares(spark):
+    rng = np.random.default_rng(5)
+    rows = [("r%d" % r, 1_700_000_000 + int(t)) for r in range(5) for t in rng.uniform(0, 900, 80)]
+    got = predicted(spark, rows)
+    for region in got:
+        buckets, counts = np.unique([t // 30 for r, t in rows if r == region], return_counts=True)
+        origin = buckets.min()
+        slope, intercept = np.polyfit(buckets - origin, counts, 1)
+        line = slope * (buckets.max() + 1 - origin) + intercept
+        assert got[region] == pytest.approx(max(0, line), abs=0.0501)
+
+
+# --- clusters and anomalies
+
+
+def aircraft(spark, n, seed=1):
+    rng = np.random.default_rng(seed)
+    rows = [
+        (f"p{i}", float(a), float(b), float(c))
+        for i, (a, b, c) in enumerate(
+            zip(rng.normal(800, 50, n), rng.normal(10000, 500, n), rng.normal(0, 3, n))
+        )
+    ]
+    return spark.createDataFrame(
+        rows, "icao24 string, speed_kmh double, altitude double, vertical_rate double"
+    )
+
+
+def flags(df, **options):
+    return sorted(column(anomalies.anomalies(df, **options), "icao24"))
+
+
+@pytest.mark.parametrize("n", [11, 150, 1500])
+def test_flagged_share(spark, n):
+    assert len(flags(aircraft(spark, n))) == math.ceil(0.05 * (n - 1))
+
+
+def test_planted_outlier_is_flagged(spark):
+    odd = spark.createDataFrame([("odd", 3000.0, 100.0, 90.0)], aircraft(spark, 1).schema)
+    assert "odd" in flags(aircraft(spark, 700).unionByName(odd))
+
+
+def test_flags_do_not_depend_on_partitioning(spark):
+    df = aircraft(spark, 600)
+    expected = flags(df)
+    assert flags(df.repartition(7)) == expected
+    assert flags(df.orderBy(F.rand(3)).coalesce(1)) == expected
+    assert flags(df, seed=43) != expected
+
+
+def test_flagged_rows_carry_the_label(spark):
+    row = anomalies.anomalies(aircraft(spark, 30)).first()
+    assert (row["anomaly_score"], row["reason"]) == (-1.0, "IsolationForest anomaly")
+
+
+def test_no_rows_no_anomalies(spark):
+    assert anomalies.anomalies(aircraft(spark, 1).limit(0)).count() == 0
+
+
+def test_every_tree_gets_its_sample_from_a_bounded_pool(spark):
+    many = spark.range(60_000).select(
+        F.concat(F.lit("p"), "id").alias("icao24"),
+        *[(F.xxhash64("id", F.lit(c)) % 1000).cast("double").alias(c) for c in anomalies.FEATURES],
+    )
+    dealt = anomalies._deal(many, "icao24", 60_000, 20, 42)
+    sizes = dealt.groupBy("tree").agg(F.count(F.lit(1)).alias("n")).collect()
+    assert len(sizes) == 20 and {r["n"] for r in sizes} == {anomalies.SAMPLE_ROWS}
+
+
+def test_scores_equal_a_plain_forest_walk(spark):
+    """Score of a point on trees of two points: one split, depth one everywhere."""
+    two = spark.createDataFrame(
+        [("a", 0.0, 0.0, 0.0), ("b", 1.0, 0.0, 0.0)], aircraft(spark, 1).schema
+    )
+    scored = anomalies.isolation_scores(two, rows=2)
+    assert column(scored, "isolation_score") == [-0.5, -0.5]
+
+
+def three_groups(spark):
+    rng = np.random.default_rng(2)
+    rows = []
+    for g, (speed, height) in enumerate([(200, 1000), (500, 6000), (900, 11000)]):
+        for i in range(100):
+            rows.append((f"g{g}-{i}", speed + rng.normal(), height + 10 * rng.normal(), g))
+    return spark.createDataFrame(
+        [(a, float(b), float(c), d) for a, b, c, d in rows],
+        "icao24 string, speed_kmh double, altitude double, g int",
+    )
+
+
+def test_clusters_find_the_groups_in_order_of_speed(spark):
+    found = clusters.cluster(three_groups(spark))
+    assert found.where("cluster <> g").count() == 0
+    sizes = {r["cluster"]: r["aircraft"] for r in clusters.cluster_sizes(found).collect()}
+    assert sizes == {0: 100, 1: 100, 2: 100}
+
+
+def test_clusters_do_not_depend_on_partitioning(spark):
+    df = aircraft(spark, 400)
+
+    def labels(d):
+        return sorted((r["icao24"], r["cluster"]) for r in clusters.cluster(d).collect())
+
+    expected = labels(df)
+    assert labels(df.repartition(5)) == expected
+    assert labels(df.orderBy(F.rand(1)).coalesce(2)) == expected
+
+
+def test_clusters_cost_no_more_than_one_cluster(spark):
+    df = clusters.cluster(aircraft(spark, 400)).toPandas()
+
+    def cost(frame):
+        return ((frame[["speed_kmh", "altitude"]] - frame[["speed_kmh", "altitude"]].mean()) ** 2).to_numpy().sum()
+
+    assert sum(cost(part) for _, part in df.groupby("cluster")) < cost(df)
+
+
+def test_clusters_of_nothing(spark):
+    assert clusters.cluster(aircraft(spark, 1).limit(0)).count() == 0
