@@ -8,24 +8,41 @@ from pyspark.sql import functions as F
 from .pick import one_per_key
 
 COLUMNS = ["icao24", "speed_kmh", "altitude", "vertical_rate", "region", "timestamp"]
+_MEASURED = [name for name in COLUMNS if name != "region"]
 #: Learning runs only on more rows than this.
 MIN_ROWS = 10
 PROBE_ROWS_PER_AIRCRAFT = 50
 
+# The newest row of an aircraft; the rest only breaks ties. The region comes last: it is
+# known after the join only, so the flight can be chosen before it.
+_FLIGHT_ORDER = ["speed_kmh", "altitude", "vertical_rate", "latitude", "longitude"]
+
+
+def _order(*names: str):
+    return [F.col("timestamp").desc(), *[F.col(name) for name in names]]
+
+
+def newest_flights(flights: DataFrame) -> DataFrame:
+    """Each aircraft's newest complete observation, before any join to airports.
+
+    Taking ``aircraft_rows`` after joining these few rows gives the same result as after
+    joining all flights.
+    """
+    return one_per_key(flights.dropna(subset=_MEASURED), ["icao24"], _order(*_FLIGHT_ORDER))
+
 
 def aircraft_rows(rows: DataFrame) -> DataFrame:
-    """The newest complete row of each aircraft."""
-    order = [F.col("timestamp").desc(), "region", "speed_kmh", "altitude", "vertical_rate"]
-    order = [F.col(c) if isinstance(c, str) else c for c in order]
-    return one_per_key(rows.select(*COLUMNS).dropna(), ["icao24"], order)
+    """The newest complete row of each aircraft among enriched rows."""
+    needed = rows.select(*COLUMNS, "latitude", "longitude").dropna(subset=COLUMNS)
+    return one_per_key(needed, ["icao24"], _order(*_FLIGHT_ORDER, "region")).select(*COLUMNS)
 
 
-def enough_rows(rows: DataFrame, *, min_rows: int = MIN_ROWS) -> bool:
-    """Whether complete rows of more than ``min_rows`` aircraft exist.
+def enough_rows(flights: DataFrame, *, min_rows: int = MIN_ROWS) -> bool:
+    """Whether complete observations of more than ``min_rows`` aircraft exist.
 
     The first few rows nearly always tell; only otherwise all ids are looked at.
     """
-    ids = rows.select(*COLUMNS).dropna().select("icao24")
+    ids = flights.dropna(subset=_MEASURED).select("icao24")
     probe = ids.take(PROBE_ROWS_PER_AIRCRAFT * (min_rows + 1))
     if len({row["icao24"] for row in probe}) > min_rows:
         return True

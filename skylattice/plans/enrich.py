@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..operators import learning
 from ..operators.flights import add_capacity, add_features, clean_flights
 from ..operators.proximity import airport_join
 
@@ -13,8 +14,29 @@ def prepare(events: DataFrame) -> DataFrame:
     return add_features(clean_flights(events))
 
 
+def at_airports(
+    flights: DataFrame, airports: DataFrame, *, radius: float = 1.0, small: bool | None = None
+) -> DataFrame:
+    """Prepared flights joined to nearby airports, with capacity and region."""
+    return add_capacity(airport_join(flights, airports, radius=radius, small=small))
+
+
 def enrich(
     events: DataFrame, airports: DataFrame, *, radius: float = 1.0, small: bool | None = None
 ) -> DataFrame:
-    """Prepared flights joined to nearby airports, with capacity and region."""
-    return add_capacity(airport_join(prepare(events), airports, radius=radius, small=small))
+    return at_airports(prepare(events), airports, radius=radius, small=small)
+
+
+def aircraft(flights: DataFrame, airports: DataFrame, *, small: bool | None = None) -> DataFrame:
+    """One row per aircraft of prepared flights; only the chosen rows are joined."""
+    newest = learning.newest_flights(flights)
+    return learning.aircraft_rows(at_airports(newest, airports, small=small))
+
+
+def ml_aircraft(
+    events: DataFrame, airports: DataFrame, *, min_rows: int = learning.MIN_ROWS
+) -> DataFrame:
+    """``learning.ml_input`` of the enriched events, without enriching all of them."""
+    flights = prepare(events)
+    rows = aircraft(flights, airports)
+    return rows if learning.enough_rows(flights, min_rows=min_rows) else rows.limit(0)

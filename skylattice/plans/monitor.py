@@ -116,7 +116,11 @@ def altitude_histogram(flight_events: DataFrame, *, bins: int = 40) -> DataFrame
 
 
 def speed_summary(flight_events: DataFrame, *, rows: int | None = None) -> DataFrame:
-    """Quartiles, range and mean of the speed in km/h."""
+    """Quartiles, range and mean of the speed in km/h.
+
+    A large table is read several times for the quartiles: pass stored rows, or store
+    them with ``sources.storage.materialize`` first.
+    """
     speeds = flight_events.select(flight.speed_kmh(F.col("velocity")).alias("speed_kmh")).dropna()
     quartiles = exact_quantiles(speeds, "speed_kmh", [0.25, 0.5, 0.75], rows=rows)
     return speeds.agg(

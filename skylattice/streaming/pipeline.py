@@ -3,7 +3,7 @@
 Fan-out to airports happens inside the batch and only as far as it is needed. The rows
 of the event table do not depend on airports, so they are written before the join; the
 metrics read the joined rows once, as sums by (region, country) that all reports roll
-up from; the learning steps read one row per aircraft. Nothing of the batch is brought
+up from; the learning steps join only the newest row of each aircraft. Nothing of the batch is brought
 to the driver.
 """
 
@@ -19,11 +19,11 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators import alerts, balance, learning, traffic
 from ..operators.anomalies import flag_outliers, isolation_scores
 from ..operators.clusters import cluster, cluster_sizes
-from ..operators.flights import add_capacity, stamp
+from ..operators.flights import stamp
 from ..operators.forecast import forecast, top_forecasts
 from ..operators.pick import upsert_view
-from ..operators.proximity import airport_join, fits_broadcast
-from ..plans.enrich import prepare
+from ..operators.proximity import fits_broadcast
+from ..plans.enrich import aircraft, at_airports, prepare
 from ..sources.storage import ResultTables
 
 Report = Callable[[int, dict[str, DataFrame]], None]
@@ -82,10 +82,10 @@ def process_batch(
     try:
         if flights.isEmpty():
             return
-        rows = add_capacity(airport_join(flights, airports, small=small_airports))
+        rows = at_airports(flights, airports, small=small_airports)
         totals = traffic.traffic_totals(rows, ["region", "country"]).persist()
-        aircraft = learning.aircraft_rows(rows).persist()
-        cached += [totals, aircraft]
+        newest = aircraft(flights, airports, small=small_airports).persist()
+        cached += [totals, newest]
 
         by_region = traffic.roll_up(totals, ["region"])
         by_country = traffic.roll_up(totals, ["country"])
@@ -96,9 +96,9 @@ def process_batch(
         tables.write("alerts", stamp(alerts.alert_table(metrics), now), batch_id)
 
         outliers = None
-        aircraft_count = aircraft.count()
+        aircraft_count = newest.count()
         if aircraft_count > learning.MIN_ROWS:
-            scored = isolation_scores(aircraft, rows=aircraft_count).persist()
+            scored = isolation_scores(newest, rows=aircraft_count).persist()
             cached.append(scored)
             outliers = flag_outliers(scored, rows=aircraft_count)
             tables.write("anomaly_logs", stamp(outliers, now), batch_id)
@@ -107,9 +107,9 @@ def process_batch(
             parts = _summaries(totals, by_region, metrics)
             alert_parts = [alerts.congestion_alerts(metrics)]
             if outliers is not None:
-                clustered = cluster(aircraft)
+                clustered = cluster(newest)
                 parts["cluster_sizes"] = cluster_sizes(clustered)
-                parts["top_forecasts"] = top_forecasts(forecast(aircraft))
+                parts["top_forecasts"] = top_forecasts(forecast(newest))
                 parts["anomalies"] = outliers
                 alert_parts.append(alerts.anomaly_alerts(outliers))
             before = previous_counts(spark, tables, batch_id)

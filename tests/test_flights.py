@@ -4,7 +4,7 @@ from helpers import airports, column, events
 from pyspark.sql import functions as F
 
 from skylattice.operators import flights, learning
-from skylattice.plans.enrich import enrich, prepare
+from skylattice.plans.enrich import enrich, ml_aircraft, prepare
 
 
 def ids(spark, **field):
@@ -125,3 +125,15 @@ def test_one_row_per_aircraft_is_the_newest(spark):
     )
     picked = learning.aircraft_rows(rows).collect()
     assert [(r["altitude"], r["region"]) for r in picked] == [(2.0, "A")]
+
+
+def test_choosing_before_the_join_gives_the_same_rows(spark):
+    flown = [
+        {"icao24": f"p{i % 40}", "timestamp": i % 3, "latitude": 50.0 + i % 7 / 5, "altitude": 1.0 + i % 11}
+        for i in range(400)
+    ] + [{"icao24": "p1", "timestamp": 9, "vertical_rate": None}]
+    near = airports(spark, (50.2, 10.5, "B", None), (51.1, 10.5, "A", None), (50.9, 10.0, None, None))
+    df = events(spark, *flown)
+    late, early = learning.ml_input(enrich(df, near)), ml_aircraft(df, near)
+    assert sorted(early.collect()) == sorted(late.collect()) and early.count() == 40
+    assert ml_aircraft(df, near, min_rows=40).count() == 0

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from helpers import EVENT, airports, column, events
@@ -31,7 +32,9 @@ def batch(n, *, start=0, place=50.5):
 def drop_file(folder, number, rows):
     folder.mkdir(exist_ok=True)
     lines = "\n".join(json.dumps(EVENT | row) for row in rows)
-    (folder / f"{number:03}.txt").write_text(lines or "not json")
+    path = folder / f"{number:03}.txt"
+    path.write_text(lines or "not json")
+    os.utime(path, (1_700_000_000 + number,) * 2)  # files are read in order of their times
 
 
 def drain(spark, folder, base, report=None):

@@ -109,7 +109,8 @@ aircraft AS (
   FROM (
     SELECT *, row_number() OVER (
              PARTITION BY icao24
-             ORDER BY timestamp DESC, region, speed_kmh, altitude, vertical_rate) AS pick
+             ORDER BY timestamp DESC, speed_kmh, altitude, vertical_rate, latitude, longitude,
+                      region) AS pick
     FROM enriched
     WHERE icao24 IS NOT NULL AND speed_kmh IS NOT NULL AND altitude IS NOT NULL
       AND vertical_rate IS NOT NULL AND region IS NOT NULL AND timestamp IS NOT NULL

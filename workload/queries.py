@@ -15,7 +15,6 @@ from skylattice.operators import (
     clusters,
     flights as flight_ops,
     forecast as forecasts,
-    learning,
     pick,
     traffic,
 )
@@ -272,7 +271,7 @@ def all_alerts(spark, sf):
 @query
 def ml_input(spark, sf):
     """D1, F2, F6"""
-    return learning.ml_input(tables.enriched(spark, sf))
+    return tables.aircraft(spark, sf)
 
 
 @query
@@ -288,7 +287,7 @@ def _predictions(predicted):
 @query
 def forecast(spark, sf):
     """M3 on one row per aircraft"""
-    return _predictions(forecasts.forecast(learning.ml_input(tables.enriched(spark, sf))))
+    return _predictions(forecasts.forecast(tables.aircraft(spark, sf)))
 
 
 @query
@@ -309,7 +308,7 @@ def top_forecasts(spark, sf):
 @query
 def anomalies(spark, sf):
     """M1"""
-    return find_anomalies(materialize(learning.ml_input(tables.enriched(spark, sf))))
+    return find_anomalies(materialize(tables.aircraft(spark, sf)))
 
 
 @query
@@ -325,7 +324,7 @@ def steep_alerts(spark, sf):
 
 
 def _clustered(spark, sf):
-    return clusters.cluster(materialize(learning.ml_input(tables.enriched(spark, sf))))
+    return clusters.cluster(materialize(tables.aircraft(spark, sf)))
 
 
 @query
@@ -410,7 +409,8 @@ def altitude_histogram(spark, sf):
 def speed_summary(spark, sf):
     """A14"""
     names = ["min_speed", "q1", "median", "q3", "max_speed", "mean_speed"]
-    return plain(monitor.speed_summary(tables.flight_events(spark, sf)), *names)
+    speeds = materialize(tables.flight_events(spark, sf).select("velocity"))
+    return plain(monitor.speed_summary(speeds), *names)
 
 
 @query
@@ -439,8 +439,8 @@ def _run_stream(spark, sf) -> ResultTables:
     base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     source = (
         spark.readStream.schema(tables.read(spark, sf, "events").schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf)
+        # With the star a table is found whether it is one file or a folder of files.
+        .parquet(f"{sf}/events.parquet*")
     )
     messages = to_json_value(tables.flights_from(source).select(*FLIGHT_EVENT.names))
     stored = ResultTables(f"{base}/tables")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from skylattice.operators import traffic
 from skylattice.operators.pick import upsert_view
-from skylattice.plans.enrich import enrich, prepare
+from skylattice.plans.enrich import enrich, ml_aircraft, prepare
 from skylattice.schemas import FLIGHT_EVENT, TABLES
 from skylattice.sources.storage import shared_dir
 from skylattice.functions import flight
@@ -68,6 +68,10 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich(flights(spark, sf_dir), airports(spark, sf_dir))
 
 
+def aircraft(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ml_aircraft(flights(spark, sf_dir), airports(spark, sf_dir))
+
+
 def _daily(df: DataFrame) -> DataFrame:
     return df.withColumn("timestamp", F.timestamp_seconds(F.col("batch_id") * DAY_SECONDS))
 
