@@ -205,7 +205,7 @@ def learn(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     got = sample.select("lang", "text").mapInArrow(run, "lang string, x binary").collect()
     got = sorted((r["lang"], bytes(r["x"])) for r in got)
     x = np.array([np.frombuffer(b, dtype=np.float32) for _, b in got], dtype=np.float64)
-    return fit(x.reshape(len(got), -1), [lang for lang, _ in got])
+    return fit(x, [lang for lang, _ in got])
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

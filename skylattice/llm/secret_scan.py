@@ -9,7 +9,7 @@ takes "as regular as writing" for its null, so that a long random string gives a
 * runs of character classes, against at most half of a random string's changes;
 * lag-one serial correlation of alphabet positions, against a correlation of at least one half.
 
-The three normal scores are combined (Stouffer). Benjamini-Hochberg runs over all candidates of the
+The three normal scores, each limited so that none outvotes the others, are combined (Stouffer). Benjamini-Hochberg runs over all candidates of the
 table separately per length stratum, so short strings, of which there are many and which can
 prove little, neither spend nor borrow the error budget of long ones.
 """
@@ -50,6 +50,7 @@ ALPHABETS = {
 }
 _SETS = {name: frozenset(letters) for name, letters in ALPHABETS.items()}
 _TEXT_COLLISION = 0.066  # chance that two letters of writing agree
+MOST = 4.0  # what one test can add, so that none outvotes the others
 _SCALE = 100  # scores are counted in hundredths
 STRATA = (24, 32, 48, 64, 128)  # upper ends of the length strata; the last is open
 
@@ -115,7 +116,7 @@ def randomness_score(token: str) -> float | None:
         return None
     letters = ALPHABETS[name]
     tests = (uniformity_score, runs_score, serial_score)
-    return sum(test(body, letters) for test in tests) / math.sqrt(len(tests))
+    return sum(min(MOST, test(body, letters)) for test in tests) / math.sqrt(len(tests))
 
 
 def _spans(text: str) -> tuple[list[tuple], list[tuple]]:

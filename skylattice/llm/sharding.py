@@ -106,7 +106,7 @@ def cuts(groups: DataFrame, shards: int, points: int = POINTS) -> tuple[int, lis
         enough = smallest(known.reach, total, low, total, shards)
         needed = smallest(known.hope, total, low, enough, shards)
         if exact or needed == enough:
-            return enough, passes(known.reach, total, enough, shards)
+            return enough, _even(groups, known, total, enough, shards)
         # Cuts of the answer lie between those of the two passes; refine the gaps there.
         early, late = (passes(known.reach, total, needed, shards), passes(known.hope, total, enough, shards))
         spots: set[int] = set()
@@ -122,6 +122,33 @@ def cuts(groups: DataFrame, shards: int, points: int = POINTS) -> tuple[int, lis
         known = _refined(groups, known, open_gaps, points)
 
 
+def _even(groups: DataFrame, known: Known, total: int, capacity: int, shards: int) -> list[int]:
+    """Ends of the shards: as even as the capacity allows, not as full as it allows.
+
+    Each cut is the group end nearest to its even share, if the shard up to there keeps to the
+    capacity and the rest still fits the shards left; else it is the greedy pass's.
+    """
+    shares = [total * j // shards for j in range(1, shards)]
+    below = [F.max(F.when(F.col("end") <= t, F.col("end"))) for t in shares]
+    above = [F.min(F.when(F.col("end") > t, F.col("end"))) for t in shares]
+    row = list(groups.agg(*below, *above).first())
+    near = Known(sorted({*known.points, *(p for p in row if p)}), [])
+    ends, at = [], 0
+    for j, share in enumerate(shares):
+        def fits(end: int) -> bool:
+            place = end
+            for _ in range(shards - j - 1):
+                place = near.reach(place + capacity)
+            return at <= end <= at + capacity and place >= total
+
+        options = sorted((p for p in (row[j], row[j + len(shares)]) if p), key=lambda p: abs(p - share))
+        at = next((p for p in options if fits(p)), near.reach(at + capacity))
+        ends.append(at)
+        if at >= total:
+            break
+    return ends if ends and ends[-1] >= total else [*ends, total]
+
+
 def _refined(groups: DataFrame, known: Known, open_gaps: list[int], points: int) -> Known:
     """Cut points added inside the given gaps, in one job; each gap gets its share of ``points``."""
     share = max(2, points // len(open_gaps))

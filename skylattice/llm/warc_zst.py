@@ -101,19 +101,19 @@ def read_archive(source) -> Iterator[bytes]:
     content = source.read(length)
     own = zstandard.ZstdCompressionDict(content) if content else None
     decompressor = zstandard.ZstdDecompressor(dict_data=own)
-    pending, out = b"", io.BytesIO()
+    pending, out, inside = b"", io.BytesIO(), False
     frame = decompressor.decompressobj()
     while True:
         chunk = pending or source.read(1 << 20)
         if not chunk:
             break
         out.write(frame.decompress(chunk))
-        pending = b""
+        pending, inside = b"", not frame.eof
         if frame.eof:
             yield out.getvalue()
             pending, out = frame.unused_data, io.BytesIO()
             frame = decompressor.decompressobj()
-    if out.tell():
+    if inside:
         raise ValueError("archive ends inside a record")
 
 
@@ -178,7 +178,7 @@ def write_archives(
             for page_id, url, payload, refers_to in zip(*columns):
                 if out is None:
                     path = f"{base}/{uuid.uuid4().hex}.warc.zst"
-                    out, records = target.open_output_stream(path), 0
+                    out, records = target.open_output_stream(path, compression=None), 0
                     out.write(leading_frame(shared.value))
                     size = 8 + len(shared.value)
                 frame = compressor.compress(record(page_id, url, payload, refers_to, sha1_base32(payload)))
@@ -226,7 +226,7 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
         for batch in batches:
             for path in batch.column("path").to_pylist():
                 rows = []
-                with target.open_input_stream(path) as source:
+                with target.open_input_stream(path, compression=None) as source:
                     for data in read_archive(source):
                         headers, http, body = parse(data)
                         kind = headers["WARC-Type"]

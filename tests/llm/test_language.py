@@ -1,0 +1,70 @@
+import random
+
+import numpy as np
+from llm_cases import documents, hard
+
+from skylattice.llm import language
+
+WORDS = {
+    "en": "the of and that with there which have from they would their because things water".split(),
+    "de": "der und nicht einer schon werden eine über auch zwischen möglich wegen ganz zeit".split(),
+    "nl": "het een niet zijn voor wordt deze maar ook naar tussen mogelijk omdat heel tijd".split(),
+    "fr": "les une dans pour avec cette être leurs même entre possible parce que très temps".split(),
+    "es": "los una para con esta sus mismo entre posible porque muy tiempo años según también".split(),
+    "fi": "ja on ei että hän mutta niin kuin myös välillä mahdollinen koska hyvin aika".split(),
+}
+
+
+def corpus(n=40, seed=3):
+    rng = random.Random(seed)
+    pairs = [(lang, " ".join(rng.choices(words, k=40))) for lang, words in WORDS.items() for _ in range(n)]
+    rng.shuffle(pairs)
+    return [t for _, t in pairs], [x for x, _ in pairs]
+
+
+def test_held_out_accuracy(spark):
+    texts, langs = corpus()
+    docs = documents(spark, texts, langs)
+    model = language.learn(language.learnable(docs))
+    assert set(model.languages["germanic"]) == {"en", "de", "nl"}
+    assert set(model.pairs) == {("de", "en"), ("de", "nl"), ("en", "nl"), ("es", "fr")}
+    rows = language.identify(docs, model).select("doc_id", language.held_out().alias("h"), "lang_pred", "score").collect()
+    right = [r["lang_pred"] == langs[r["doc_id"]] for r in rows if r["h"]]
+    assert len(right) > 30 and sum(right) / len(right) > 0.95
+    assert all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_labels_of_held_out_documents_teach_nothing(spark):
+    texts, langs = corpus(20)
+    docs = documents(spark, texts, langs)
+    spoiled = docs.withColumn("lang", language.F.when(language.held_out(), "xx").otherwise(language.F.col("lang")))
+    a, b = (language.learn(language.learnable(d)) for d in (docs, spoiled))
+    assert a.families == b.families
+    assert all(np.array_equal(a.pairs[p].weights, b.pairs[p].weights) for p in a.pairs)
+
+
+def test_long_texts_are_hashed_whole():
+    start, tail = "abc def " * 10, "ghi jkl "
+    text = start + tail * (language.PIECE // 8)
+    piece = language.PIECE
+    whole = language.counts(text)
+    try:
+        language.PIECE = 1 << 22
+        assert np.allclose(language.counts(text), whole)
+        language.PIECE = 7
+        assert np.allclose(language.counts(start), language.counts(start + " "), atol=0.2)
+    finally:
+        language.PIECE = piece
+
+
+def test_hard_rows(spark):
+    model = language.learn(hard(spark))
+    rows = hard(spark)
+    got = language.identify(rows, model)
+    assert set(got.columns) == set(rows.columns)
+    found = got.collect()
+    assert len(found) == 11
+    assert all((r["lang_pred"] == "und") == (r["text"] is None or not any(c.isalpha() for c in r["text"])) for r in found)
+    assert language.identify(rows.limit(0), model).count() == 0
+    nothing = language.identify(rows, language.learn(rows.limit(0))).collect()
+    assert {r["lang_pred"] for r in nothing} == {"und"} and {r["score"] for r in nothing} == {0.0}

@@ -1,0 +1,104 @@
+import hashlib
+import random
+import re
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm_cases import documents, hard, sentence
+
+from skylattice.llm import pii
+
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    odd = [int(c) for c in digits[::-1][::2]]
+    even = [sum(divmod(2 * int(c), 10)) for c in digits[::-1][1::2]]
+    return (sum(odd) + sum(even)) % 10 == 0
+
+
+def brute(text):
+    found = []
+    for rank, (kind, pattern) in enumerate(PLAIN.items()):
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m.group())
+            ok = {
+                "email": True,
+                "ip": kind == "ip" and all(int(p) <= 255 for p in m.group().split(".")),
+                "card": 12 <= len(digits) <= 19 and luhn(digits),
+                "phone": 9 <= len(digits) <= 15,
+            }[kind]
+            if ok:
+                found.append((m.start(), rank, kind, m.end()))
+    return sorted(found)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="ab1240@.-+ ()%_é\n", max_size=60))
+def test_base_spans_equal_the_patterns(text):
+    assert pii.base_spans(text) == brute(text)
+
+
+def test_base_spans_of_known_forms():
+    text = "a.b+c@d-e.co.uk x@y@z.org 4111 1111 1111 1111 +1 (203) 555-2485 300.1.1.1 010.0.0.1 1.2.3.4.5"
+    assert pii.base_spans(text) == brute(text) and len(brute(text)) >= 5
+    assert pii.base_spans("1." + "0" * 6000 + ".1.1") == [(0, 1, "ip", 6006)]
+
+
+def fitted():
+    rng = random.Random(2)
+    texts = []
+    for _ in range(300):
+        card = "4111 1111 1111 1111".replace(" ", rng.choice(["", "-"]))
+        phone = f"+1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}"
+        texts.append(f"{sentence(rng)} {card} {sentence(rng)} {phone} in {rng.randint(1, 2030)} of {rng.randint(3, 99)}")
+    return pii.fit(pii.graph_of(texts, [pii.base_spans(t) for t in texts]))
+
+
+def test_skip_edges_carry_a_label_to_weak_occurrences():
+    """The same digits without the plus sign are weak alone, and an entity beside a strong one."""
+    model = fitted()
+    strong, weak = "call +12035552485 now", "later 12035552485 again"
+    alone = pii.graph_of([weak], [pii.base_spans(weak)])
+    both = strong + " words " + weak
+    joined = pii.graph_of([both], [pii.base_spans(both)])
+    phone = 1 + pii.KINDS.index("phone")
+    assert len(joined.skip) == 1
+    assert pii.marginals(joined, model)[1, phone] > pii.marginals(alone, model)[0, phone]
+
+
+def test_messages_are_exact_on_a_chain():
+    rng = np.random.default_rng(5)
+    k = len(pii.KINDS) + 1
+    text = "1 2 3"
+    graph = pii.graph_of([text], [[]])
+    model = pii.Model(rng.normal(size=(pii.N_FEATURES, k)), rng.normal(size=(k, k)), np.zeros((k, k)))
+    u = graph.features @ model.unary
+    joint = u[0][:, None, None] + u[1][None, :, None] + u[2][None, None, :]
+    joint = np.exp(joint + model.step[:, :, None] + model.step[None, :, :])
+    want = joint.sum(axis=(0, 2)) / joint.sum()
+    assert np.allclose(pii.marginals(graph, model)[1], want, atol=1e-3)
+
+
+def test_query_rows(spark):
+    rng = random.Random(1)
+    texts = [f"{sentence(rng)} u{i}@mail.example.com {sentence(rng)} 10.1.2.{i}" for i in range(30)]
+    texts += [sentence(rng, 100) for _ in range(30)]
+    for r in pii.digest(pii.personal_spans(documents(spark, texts))).collect():
+        want = brute(texts[r["doc_id"]])
+        text = ",".join(f"{k}:{s}:{e}" for s, _, k, e in want)
+        assert r["base_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+        assert [r["n_email"], r["n_ip"]] == [sum(w[2] == k for w in want) for k in ("email", "ip")]
+        if r["doc_id"] >= 30:
+            assert r["spans"] == ""
+
+
+def test_hard_rows(spark):
+    assert pii.digest(pii.personal_spans(hard(spark))).count() == 11
+    assert pii.digest(pii.personal_spans(hard(spark).limit(0))).count() == 0
