@@ -1,9 +1,11 @@
 """Isolation-forest anomalies (Liu, Ting and Zhou, 2008).
 
-A tree is grown on a sample of at most 256 rows, so fitting costs the same for any
-input: one hash per row picks a pool of bounded size, the pool is dealt out to the
-trees, and each tree is grown in its own group of 256 rows. The forest (some hundred
-KB, bounded by trees x sample size) is broadcast and rows are scored in Arrow batches.
+Every tree draws its own sample from all rows: a hash of (key, tree, seed) lets a row
+through for a tree with a probability that gives about four samples' worth, and the
+rows of the smallest hashes are the sample. That is one narrow pass whatever the size,
+some thousand rows per tree are shuffled, and each tree is grown in its own group. The
+forest (some hundred KB, bounded by trees x sample size) is broadcast and rows are
+scored in Arrow batches.
 Samples and splits derive from hashes of the row key and the seed, so the forest does
 not depend on partitioning, task order or retries.
 """
@@ -15,6 +17,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,9 +25,10 @@ from ..sources.storage import materialize
 from .quantiles import exact_quantiles
 
 FEATURES = ["speed_kmh", "altitude", "vertical_rate"]
+#: Rows a tree is grown on, unless told otherwise.
 SAMPLE_ROWS = 256
-#: Expected pool size per sampled row; trees then share few of their rows.
-POOL_FACTOR = 64
+#: Rows let through per sampled row; a shortfall is then out of reach.
+SURPLUS = 4
 REASON = "IsolationForest anomaly"  # fixed value
 FLAG = -1.0  # fixed value: the stored score is the outlier label
 
@@ -32,29 +36,19 @@ _TREE = "tree int, feature array<int>, threshold array<double>, length array<dou
 _HASH_RANGE = 2**31 - 1
 
 
-def _deal(df: DataFrame, key: str, rows: int, trees: int, seed: int) -> DataFrame:
-    """(tree, features) rows: for each tree the same number of rows without repeats."""
-    size = min(SAMPLE_ROWS, rows)
-    position = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(_HASH_RANGE))
+def _deal(df: DataFrame, key: str, rows: int, size: int, trees: int, seed: int) -> DataFrame:
+    """(tree, features) rows: for each tree ``size`` rows of all, without repeats."""
     hashed = df.select(key, *[F.coalesce(c, F.lit(0.0)).alias(c) for c in FEATURES])
-    share = min(1.0, POOL_FACTOR * size / rows)
-    pool = hashed
-    if share < 1:
-        # The pool holds 64 times the sample on average; a shortfall below the sample
-        # itself is out of reach, but is checked and widened all the same.
-        while True:
-            pool = hashed.where(position < int(share * _HASH_RANGE))
-            if share >= 1 or pool.limit(size).count() == size:
-                break
-            share = min(1.0, 2 * share)
-    per_tree = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    draw = F.xxhash64(F.col(key), F.col("tree"), F.lit(seed + 1))
+    cut = min(_HASH_RANGE, -(-SURPLUS * size * _HASH_RANGE // rows))
+    draw = lambda tree: F.pmod(F.xxhash64(F.col(key), tree, F.lit(seed)), F.lit(_HASH_RANGE))
+    through = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: draw(tree) < cut)
+    per_tree = hashed.withColumn("tree", F.explode(through))
     order = Window.partitionBy("tree").orderBy("_draw", key)
     return (
-        per_tree.withColumn("_draw", draw)
+        per_tree.withColumn("_draw", draw(F.col("tree")))
         .withColumn("_rank", F.row_number().over(order))
         .where(F.col("_rank") <= size)
-        .select("tree", "_rank", *FEATURES)
+        .select("tree", "_rank", key, *FEATURES)
     )
 
 
@@ -126,55 +120,73 @@ def _average_path(n: int) -> float:
 
 
 def isolation_scores(
-    df: DataFrame, *, rows: int, trees: int = 50, seed: int = 42, key: str = "icao24"
+    df: DataFrame,
+    *,
+    rows: int,
+    trees: int = 50,
+    seed: int = 42,
+    key: str = "icao24",
+    sample_rows: int = SAMPLE_ROWS,
+    held: list[Broadcast] | None = None,
 ) -> DataFrame:
     """``df`` with ``isolation_score`` in (-1, 0); the lower, the more isolated.
 
-    ``key`` must be unique, ``rows`` is the row count of ``df``.
+    ``key`` must be unique, ``rows`` is the row count of ``df``. Each tree is grown on
+    ``sample_rows`` rows, or on all where there are fewer. The broadcast forest is added to
+    ``held``, for the caller to release once the scores are stored.
     """
-    size = min(SAMPLE_ROWS, rows)
+    size = min(sample_rows, rows)
     depth = max(1, math.ceil(math.log2(max(size, 2))))
-    samples = _deal(df, key, rows, trees, seed)
+    samples = _deal(df, key, rows, size, trees, seed).drop(key)
     grown = samples.groupBy("tree").applyInPandas(_grower(depth, seed), _TREE)
     forest = sorted(grown.collect(), key=lambda t: t["tree"])  # one bounded row per tree
     arrays = tuple(
         np.array([t[part] for t in forest]) for part in ("feature", "threshold", "length")
     )
-    score = _scorer(df.sparkSession.sparkContext.broadcast(arrays), depth, _average_path(size))
+    shared = df.sparkSession.sparkContext.broadcast(arrays)
+    if held is not None:
+        held.append(shared)
+    score = _scorer(shared, depth, _average_path(size))
     features = [F.coalesce(c, F.lit(0.0)) for c in FEATURES]
     return df.withColumn("isolation_score", score(*features))
 
 
-def flag_outliers(
-    scored: DataFrame, *, contamination: float = 0.05, rows: int | None = None
-) -> DataFrame:
+def flag_outliers(scored: DataFrame, *, contamination: float = 0.05) -> DataFrame:
     """Rows scored below the ``contamination`` quantile, labelled as in the stored log.
 
     ``scored`` is read more than once, so it should be stored or persisted.
     """
-    limit = exact_quantiles(scored, "isolation_score", [contamination], rows=rows)[0]
+    limit = exact_quantiles(scored, "isolation_score", [contamination])[0]
     outliers = scored.where(F.col("isolation_score") < limit)
     return outliers.drop("isolation_score").withColumns(
         {"anomaly_score": F.lit(FLAG), "reason": F.lit(REASON)}
     )
 
 
-def anomalies(
+def stored_scores(
     df: DataFrame,
     *,
     trees: int = 50,
-    contamination: float = 0.05,
     seed: int = 42,
     key: str = "icao24",
+    sample_rows: int = SAMPLE_ROWS,
 ) -> DataFrame:
-    """The most isolated share of ``df``; scores are stored in the shared folder.
+    """``df`` with its isolation scores, stored in the shared folder.
 
     ``df`` itself is read three times (count, sample, scores): store it beforehand if it
     is costly to compute.
     """
     rows = df.count()
     if rows == 0:
-        empty = df.withColumn("isolation_score", F.lit(None).cast("double"))
-        return flag_outliers(empty, contamination=contamination, rows=0)
-    scored = isolation_scores(df, rows=rows, trees=trees, seed=seed, key=key)
-    return flag_outliers(materialize(scored), contamination=contamination, rows=rows)
+        return df.withColumn("isolation_score", F.lit(None).cast("double"))
+    held: list[Broadcast] = []
+    options = {"trees": trees, "seed": seed, "key": key, "sample_rows": sample_rows}
+    scored = materialize(isolation_scores(df, rows=rows, held=held, **options))
+    for forest in held:
+        forest.destroy()
+    return scored
+
+
+def anomalies(df: DataFrame, *, contamination: float = 0.05, **options) -> DataFrame:
+    """The most isolated share of ``df``; ``options`` are those of ``stored_scores``."""
+    return flag_outliers(stored_scores(df, **options), contamination=contamination)

@@ -86,6 +86,11 @@ def reroute(
     return suggestions.unionByName(quiet)
 
 
+def first_reroutes(metrics: DataFrame, n: int = 2, **limits) -> DataFrame:
+    """The suggestions of the most congested regions, the most urgent first."""
+    return reroute(metrics, **limits).orderBy(F.col("aci").desc(), "region").limit(n)
+
+
 def load_balance(metrics: DataFrame, *, over: float = 1.5, under: float = 0.5) -> DataFrame:
     """Each region against the unweighted mean index of all regions."""
     mean = metrics.agg(F.avg("aci").alias("mean_aci")).scalar()

@@ -1,22 +1,22 @@
-"""Exact quantiles of a column of any size.
-
-The built-in exact ``percentile`` keeps every distinct value in one buffer, so it is
-used only up to ``SINGLE_PASS_ROWS`` rows. Beyond that the wanted ranks are located by
-refining histograms: each pass counts the values of the still interesting intervals in
-equal-width bins (at most ``BINS`` groups per interval, summed map-side), keeps the bin
-that holds the rank and narrows the interval to the values really present in it. An
-interval is finished when all its values are equal, so repeated values end it early.
+"""Exact quantiles of a column of any size, by one algorithm at every size.
+
+The wanted ranks are located by refining histograms: each pass counts the values of the
+still interesting intervals in equal-width bins (at most ``BINS`` groups per interval,
+summed map-side), keeps the bin that holds the rank and narrows the interval to the
+values really present in it. An interval is finished when all its values are equal, so
+repeated values end it early. Infinite values are counted, never binned, and no task or
+the driver holds more than the bins.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SINGLE_PASS_ROWS = 2_000_000
 BINS = 4096
 
 
@@ -35,40 +35,42 @@ class _Search:
 
 
 def exact_quantiles(
-    df: DataFrame,
-    column: str,
-    probabilities: Sequence[float],
-    *,
-    rows: int | None = None,
-    single_pass_rows: int = SINGLE_PASS_ROWS,
+    df: DataFrame, column: str, probabilities: Sequence[float]
 ) -> list[float | None]:
     """Quantiles with linear interpolation between neighbouring ranks; null and NaN ignored.
 
     ``df`` is read several times, so it should be stored or cheap to recompute.
-    ``rows``, if known, is an upper bound of its row count and saves a pass.
     """
     values = df.select(F.col(column).cast("double").alias("v"))
     values = values.where("v is not null and not isnan(v)")
-    if rows is not None and rows <= single_pass_rows:
-        return _built_in(values, probabilities)
+    infinite = math.inf
+    finite = F.when(F.abs("v") < infinite, F.col("v"))
     span = values.agg(
-        F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("v") == -infinite).alias("lowest"),
+        F.count(finite).alias("finite"),
+        F.min(finite).alias("low"),
+        F.max(finite).alias("high"),
     ).first()
-    if span["n"] <= single_pass_rows:
-        return _built_in(values, probabilities)
-
-    positions = [p * (span["n"] - 1) for p in probabilities]
-    ranks = sorted({r for x in positions for r in (int(x), min(int(x) + 1, span["n"] - 1))})
-    at = _select(values, ranks, span["low"], span["high"])
-    return [
-        at[int(x)] + (x - int(x)) * (at[min(int(x) + 1, span["n"] - 1)] - at[int(x)])
-        for x in positions
-    ]
-
-
-def _built_in(values: DataFrame, probabilities: Sequence[float]) -> list[float | None]:
-    found = values.agg(F.percentile("v", F.array(*map(F.lit, probabilities))).alias("q"))
-    return list(found.first()["q"] or [None] * len(probabilities))
+    n = span["n"]
+    if not n:
+        return [None] * len(probabilities)
+    positions = [p * (n - 1) for p in probabilities]
+    ranks = sorted({r for x in positions for r in (int(x), min(int(x) + 1, n - 1))})
+    ends = span["lowest"], span["lowest"] + span["finite"]
+    at = {r: -infinite if r < ends[0] else infinite for r in ranks if not ends[0] <= r < ends[1]}
+    inside = [r - ends[0] for r in ranks if ends[0] <= r < ends[1]]
+    found = _select(values.where(F.abs("v") < infinite), inside, span["low"], span["high"])
+    at |= {r + ends[0]: value for r, value in found.items()}
+    return [_between(at[int(x)], at[min(int(x) + 1, n - 1)], x - int(x)) for x in positions]
+
+
+def _between(low: float, high: float, part: float) -> float:
+    if part == 0 or low == high:
+        return low
+    step = high - low
+    # Neighbours further apart than the greatest number: weighed one by one.
+    return low + part * step if step < math.inf else (1 - part) * low + part * high
 
 
 def _select(values: DataFrame, ranks: Sequence[int], low: float, high: float) -> dict[int, float]:
@@ -82,6 +84,15 @@ def _select(values: DataFrame, ranks: Sequence[int], low: float, high: float) ->
     return {s.rank: s.low for s in searches}
 
 
+def _bin(v: Column, low: float, high: float) -> Column:
+    """Bin of a value in [low, high]: the two ends never share one, so every pass narrows."""
+    if high - low < math.inf:
+        share = (v - low) / (high - low)
+    else:
+        share = (v / 2 - low / 2) / (high / 2 - low / 2)
+    return F.least(F.floor(share * BINS), F.lit(BINS - 1))
+
+
 def _histograms(values: DataFrame, intervals: Sequence[tuple[float, float]]) -> dict[int, list]:
     """Per interval its filled bins in order: count, smallest and greatest value."""
     v = F.col("v")
@@ -90,10 +101,7 @@ def _histograms(values: DataFrame, intervals: Sequence[tuple[float, float]]) ->
         *[
             F.when(
                 v.between(low, high),
-                F.struct(
-                    F.lit(i).alias("interval"),
-                    F.least(F.floor((v - low) / (high - low) * BINS), F.lit(BINS - 1)).alias("bin"),
-                ),
+                F.struct(F.lit(i).alias("interval"), _bin(v, low, high).alias("bin")),
             )
             for i, (low, high) in enumerate(intervals)
         ]
@@ -114,6 +122,8 @@ def _narrow(search: _Search, histogram: list) -> None:
     below = search.below
     for row in histogram:
         if search.rank < below + row["n"]:
+            if (row["low"], row["high"]) == (search.low, search.high):
+                raise RuntimeError("a pass did not narrow its interval")
             search.low, search.high, search.below = row["low"], row["high"], below
             return
         below += row["n"]

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -79,6 +80,7 @@ def process_batch(
     now = batch_time or datetime.now(timezone.utc)
     flights = batch_df.persist()
     cached = [flights]
+    forests: list[Broadcast] = []
     try:
         if flights.isEmpty():
             return
@@ -98,9 +100,9 @@ def process_batch(
         outliers = None
         aircraft_count = newest.count()
         if aircraft_count > learning.MIN_ROWS:
-            scored = isolation_scores(newest, rows=aircraft_count).persist()
+            scored = isolation_scores(newest, rows=aircraft_count, held=forests).persist()
             cached.append(scored)
-            outliers = flag_outliers(scored, rows=aircraft_count)
+            outliers = flag_outliers(scored)
             tables.write("anomaly_logs", stamp(outliers, now), batch_id)
 
         if report is not None:
@@ -124,6 +126,8 @@ def process_batch(
     finally:
         for df in cached:
             df.unpersist()
+        for forest in forests:
+            forest.unpersist()
 
 
 def _summaries(totals: DataFrame, by_region: DataFrame, metrics: DataFrame) -> dict[str, DataFrame]:
@@ -134,7 +138,7 @@ def _summaries(totals: DataFrame, by_region: DataFrame, metrics: DataFrame) -> d
         "top_regions": traffic.top_regions(counts),
         "avg_speed": traffic.speed_sample(traffic.region_avg_speed_of(by_region)),
         "efficiency": traffic.mean_efficiency_of(totals),
-        "reroute": balance.reroute(metrics).orderBy(F.col("aci").desc(), "region").limit(2),
+        "reroute": balance.first_reroutes(metrics),
         "overloaded": balance.overloaded(balanced),
     }
 

@@ -30,16 +30,30 @@ SETS = {
 @pytest.mark.parametrize("name", SETS)
 def test_refined_quantiles_equal_the_sorted_ones(spark, name):
     numbers = SETS[name](np.random.default_rng(3))
-    got = quantiles.exact_quantiles(values(spark, numbers), "x", PROBABILITIES, single_pass_rows=0)
+    got = quantiles.exact_quantiles(values(spark, numbers), "x", PROBABILITIES)
     assert got == pytest.approx(list(np.quantile(numbers, PROBABILITIES)), rel=1e-12)
 
 
-def test_both_ways_agree_and_skip_missing_values(spark):
+def test_quantiles_skip_missing_values(spark):
     numbers = values(spark, [1.0, 2.0, 4.0, math.nan]).unionByName(
         spark.sql("SELECT cast(null AS double) AS x")
     )
-    refined = quantiles.exact_quantiles(numbers, "x", [0.5, 0.75], single_pass_rows=0)
-    assert refined == quantiles.exact_quantiles(numbers, "x", [0.5, 0.75]) == [2.0, 3.0]
+    assert quantiles.exact_quantiles(numbers, "x", [0.5, 0.75]) == [2.0, 3.0]
+
+
+@pytest.mark.parametrize(
+    "numbers, want",
+    [
+        ([-math.inf, 1.0, 2.0, math.inf], [-math.inf, 1.5, math.inf]),
+        ([math.inf] * 5, [math.inf] * 3),
+        ([-1.7e308, -1.0, 1.0, 1.7e308, 1.7e308], [-1.7e308, 1.0, 1.7e308]),
+        ([-1.7e308, 1.7e308], [-1.7e308, 0.0, 1.7e308]),
+        ([5e-324, 0.0, 1e-323], [0.0, 5e-324, 1e-323]),
+        ([1.0] * 5000 + [math.inf] + [2.0] * 3, [1.0, 1.0, math.inf]),
+    ],
+)
+def test_quantiles_of_extreme_values_end(spark, numbers, want):
+    assert quantiles.exact_quantiles(values(spark, numbers), "x", [0.0, 0.5, 1.0]) == want
 
 
 def test_quantiles_of_nothing(spark):
@@ -135,14 +149,30 @@ def test_no_rows_no_anomalies(spark):
     assert anomalies.anomalies(aircraft(spark, 1).limit(0)).count() == 0
 
 
-def test_every_tree_gets_its_sample_from_a_bounded_pool(spark):
+def test_every_tree_samples_from_all_rows(spark):
     many = spark.range(60_000).select(
         F.concat(F.lit("p"), "id").alias("icao24"),
         *[(F.xxhash64("id", F.lit(c)) % 1000).cast("double").alias(c) for c in anomalies.FEATURES],
     )
-    dealt = anomalies._deal(many, "icao24", 60_000, 20, 42)
-    sizes = dealt.groupBy("tree").agg(F.count(F.lit(1)).alias("n")).collect()
-    assert len(sizes) == 20 and {r["n"] for r in sizes} == {anomalies.SAMPLE_ROWS}
+    size = anomalies.SAMPLE_ROWS
+    dealt = anomalies._deal(many, "icao24", 60_000, size, 60, 42).cache()
+    sizes = dealt.groupBy("tree").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("icao24").alias("keys")
+    )
+    assert {(r["n"], r["keys"]) for r in sizes.collect()} == {(size, size)}
+    # 60 x 256 draws of 60,000 rows meet about 13,500 of them, spread over the whole range.
+    assert dealt.select("icao24").distinct().count() > 12_000
+    number = F.substring("icao24", 2, 9).cast("int")
+    tenths = dealt.groupBy(F.floor(number / 6000)).count().collect()
+    assert len(tenths) == 10 and min(r["count"] for r in tenths) > 1200
+    again = anomalies._deal(many.repartition(13), "icao24", 60_000, size, 60, 42)
+    assert again.exceptAll(dealt).count() == 0
+    dealt.unpersist()
+
+
+def test_sample_size_is_an_option(spark):
+    df = aircraft(spark, 200)
+    assert flags(df, sample_rows=16) != [] and flags(df, sample_rows=10_000) != []
 
 
 def test_scores_equal_a_plain_forest_walk(spark):
