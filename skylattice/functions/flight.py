@@ -25,7 +25,8 @@ FLIGHTS_PER_DENSITY_UNIT = 100.0
 
 def callsign(raw: Column) -> Column:
     """Empty text becomes null; surrounding white space of any kind is cut."""
-    return F.when(raw != "", F.regexp_replace(raw, r"^\s+|\s+$", ""))
+    space = r"[\s\x1c-\x1f]+"  # all white space of Unicode, and the four separators
+    return F.when(raw != "", F.regexp_replace(raw, f"(?U)^{space}|{space}$", ""))
 
 
 def speed_kmh(velocity: Column) -> Column:

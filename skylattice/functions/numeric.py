@@ -12,10 +12,13 @@ Three conventions occur and they differ on ties:
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _HIGH_BITS, _LOW_BITS = 30, 31
+_WHOLE_FROM = 2.0**53
 #: Noise below this many decimals must not decide a tie or a truncation.
 SNAP_DIGITS = 9
 
@@ -60,17 +63,34 @@ def _last_bits(x: Column, bits: int) -> Column:
     return x.bitwiseAND(F.lit(2**bits - 1).cast("long"))
 
 
+def _fractional(x: Column) -> Column:
+    """The magnitude where it can have a fraction, null where it cannot."""
+    return F.when(F.abs(x) < _WHOLE_FROM, F.abs(x))
+
+
 def round_exact(x: Column, digits: int) -> Column:
-    return F.signum(x) * _units(F.abs(x), digits) / float(10**digits)
+    rounded = F.signum(x) * _units(_fractional(x), digits) / float(10**digits)
+    return F.coalesce(rounded, x)
 
 
 def fixed_text(x: Column, digits: int) -> Column:
-    """Text with exactly ``digits`` decimals, e.g. ``1.12`` for 1.125."""
-    units = _units(F.abs(x), digits)
+    """Text with exactly ``digits`` decimals, e.g. ``1.12`` for 1.125; null for null.
+
+    Never fails: a number from 2**53 on has no fraction and is written as a whole number
+    (exact up to 2**63, beyond in its shortest digits and zeros), others as inf and nan.
+    """
+    units = _units(_fractional(x), digits)
     sign = F.when(x.cast("string").startswith("-"), "-").otherwise("")
+    zeros = F.lit("." + "0" * digits if digits else "")
+    exact = F.when(F.abs(x) < 2.0**63, F.abs(x)).try_cast("long").cast("string")
+    shortest = F.regexp_replace(F.format_string("%.0f", F.abs(x)), r"\..*", "")
+    large = F.concat(F.coalesce(exact, shortest), zeros)
+    large = F.when(F.isnan(x), "nan").when(F.abs(x) == math.inf, "inf").otherwise(large)
     if digits == 0:
-        return F.concat(sign, units.cast("string"))
-    scale = F.lit(10**digits).cast("long")
-    whole = F.floor(units / scale)
-    decimals = F.lpad((units % scale).cast("string"), digits, "0")
-    return F.concat(sign, whole.cast("string"), F.lit("."), decimals)
+        small = units.cast("string")
+    else:
+        scale = F.lit(10**digits).cast("long")
+        whole = F.floor(units / scale)
+        decimals = F.lpad((units % scale).cast("string"), digits, "0")
+        small = F.concat(whole.cast("string"), F.lit("."), decimals)
+    return F.when(x.isNotNull(), F.concat(sign, F.coalesce(small, large)))

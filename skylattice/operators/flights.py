@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -13,8 +14,9 @@ from ..functions import flight
 def clean_flights(df: DataFrame, *, drop_nan: bool = True) -> DataFrame:
     """Observations with a position on the globe, moving and above ground.
 
-    Spark orders NaN above every number, so ``> 0`` alone would let NaN through and
-    turn every average it enters into NaN; ``drop_nan=False`` restores that.
+    Speed and altitude have to be finite: an infinite one would spoil every average it
+    enters. Spark orders NaN above every number, so ``> 0`` alone would let NaN through;
+    ``drop_nan=False`` restores that, for NaN and infinity alike.
     """
     kept = (
         F.col("latitude").between(-90, 90)
@@ -23,7 +25,8 @@ def clean_flights(df: DataFrame, *, drop_nan: bool = True) -> DataFrame:
         & (F.col("altitude") > 0)
     )
     if drop_nan:
-        kept = kept & ~F.isnan("velocity") & ~F.isnan("altitude")
+        # NaN counts as greater than infinity.
+        kept = kept & (F.col("velocity") < math.inf) & (F.col("altitude") < math.inf)
     return df.where(kept)
 
 

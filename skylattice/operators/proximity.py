@@ -15,11 +15,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CELLS_PER_AIRPORT = 9
 #: Limit on the measured size of the replicated airports for them to be broadcast.
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 _ROW_BYTES = 96  # fixed part of a hashed row: header, keys, two doubles, offsets
+_FARTHEST = 2.0**53  # in cells; numbers beyond have no fraction left
 _CELL = ("_cell_lat", "_cell_lon")
 
 
@@ -27,24 +29,37 @@ def _cells(lat, lon, radius: float):
     # A hair wider than the radius, so that rounding in the division cannot put two
     # points less than one radius apart two cells away from each other.
     width = radius * (1 + 1e-9)
-    return F.floor(lat / width).cast("int"), F.floor(lon / width).cast("int")
+    return F.floor(lat / width), F.floor(lon / width)
 
 
 def replicated_bytes(airports: DataFrame) -> int:
     """Measured size of the airport cells: one small aggregation over the table."""
-    text = [F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in ("iso_region", "type")]
+    sizes = [_bytes(field) for field in airports.schema.fields]
     row = airports.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(text[0] + text[1]), F.lit(0)).alias("b")
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(sum(sizes, F.lit(0))), F.lit(0)).alias("b")
     ).first()
     return CELLS_PER_AIRPORT * (row["n"] * _ROW_BYTES + row["b"])
 
 
+def _bytes(field: T.StructField):
+    """Size of a value, whatever column the table brings along."""
+    value = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0))
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(value))), F.lit(0))
+    return F.lit(8)
+
+
 def fits_broadcast(airports: DataFrame, limit: int = MAX_BROADCAST_BYTES) -> bool:
     return replicated_bytes(airports) <= limit
 
 
 def airport_cells(airports: DataFrame, *, radius: float = 1.0) -> DataFrame:
-    """Airports with a position, once per cell that can hold a flight in reach."""
+    """Airports with a position, once per cell that can hold a flight in reach.
+
+    A position that is not finite, or too far out to have a cell, is near nothing.
+    """
     lat, lon = _cells(F.col("ap_lat"), F.col("ap_lon"), radius)
     around = [
         F.struct((lat + i).alias(_CELL[0]), (lon + j).alias(_CELL[1]))
@@ -52,7 +67,9 @@ def airport_cells(airports: DataFrame, *, radius: float = 1.0) -> DataFrame:
         for j in (-1, 0, 1)
     ]
     return (
-        airports.where(F.col("ap_lat").isNotNull() & F.col("ap_lon").isNotNull())
+        airports.where(
+            (F.abs("ap_lat") < _FARTHEST * radius) & (F.abs("ap_lon") < _FARTHEST * radius)
+        )
         .withColumn("_cell", F.explode(F.array(*around)))
         .select("*", "_cell.*")
         .drop("_cell")

@@ -3,6 +3,7 @@ import math
 from helpers import airports, column, events
 from pyspark.sql import functions as F
 
+from skylattice.functions.flight import callsign
 from skylattice.operators import flights, learning
 from skylattice.plans.enrich import enrich, ml_aircraft, prepare
 
@@ -137,3 +138,17 @@ def test_choosing_before_the_join_gives_the_same_rows(spark):
     late, early = learning.ml_input(enrich(df, near)), ml_aircraft(df, near)
     assert sorted(early.collect()) == sorted(late.collect()) and early.count() == 40
     assert ml_aircraft(df, near, min_rows=40).count() == 0
+
+
+def test_infinite_numbers_are_invalid(spark):
+    rows = [{"velocity": math.inf}, {"altitude": math.inf}, {"velocity": math.nan}, {"vertical_rate": math.inf}]
+    kept = flights.clean_flights(events(spark, *rows))
+    assert column(kept, "vertical_rate") == [math.inf]
+    assert flights.clean_flights(events(spark, *rows), drop_nan=False).count() == 4
+    assert learning.newest_flights(prepare(events(spark, *rows))).count() == 0
+
+
+def test_callsign_white_space(spark):
+    spaces = "\u00a0\u2003\x1c\x1f\t\x85 \u3000"
+    df = spark.createDataFrame([(f"{spaces}AB 1{spaces}",), (spaces,), ("",), (None,)], "c string")
+    assert [r[0] for r in df.select(callsign(F.col("c"))).collect()] == ["AB 1", "", None, None]

@@ -59,3 +59,16 @@ def test_truncate_of_nan_is_missing(spark):
 def test_snap_removes_summation_noise(spark):
     row = spark.sql("SELECT 0.1D + 0.2D AS x").select(numeric.snap(F.col("x"))).first()
     assert row[0] == 0.3 and not math.isclose(0.1 + 0.2, 0.3, rel_tol=0)
+
+
+def test_large_and_infinite_numbers_have_a_text(spark):
+    numbers = [2.0**53, -(2.0**53) - 2, 9.1e16, 1e17, 2.0**62, 1e18, -1e300, math.inf, -math.inf, math.nan]
+    df = spark.createDataFrame([(x,) for x in numbers], "x double")
+    for digits in (0, 1, 2):
+        for row in df.select("x", numeric.fixed_text(F.col("x"), digits).alias("t")).collect():
+            want = f"{row['x']:.{digits}f}"
+            if abs(row["x"]) == 1e300:  # in its shortest digits
+                want = "-1" + "0" * 300 + ("." + "0" * digits if digits else "")
+            assert row["t"] == want
+    rounded = df.where("x < 1e30 and x > -1e30").select("x", numeric.round_exact(F.col("x"), 1).alias("r"))
+    assert all(r["x"] == r["r"] for r in rounded.collect())

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from helpers import airports, events
+from helpers import airports, column, events
 from pyspark.sql import functions as F
 
 from skylattice.operators import proximity
@@ -115,3 +115,16 @@ def test_hot_cell_is_split_in_the_shuffled_join(spark):
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+
+
+def test_unusable_airport_positions_are_near_nothing(spark):
+    rows = [(99_999_999_999.0, 10.0, "A", "x"), (float("inf"), 10.0, "B", "x"), (float("nan"), 10.0, "C", "x")]
+    rows += [(1e300, 10.0, "D", "x"), (50.4, 10.4, "E", "x")]
+    near = proximity.airport_join(events(spark, {}), airports(spark, *rows), small=True)
+    assert column(near, "iso_region") == ["E"]
+
+
+def test_every_column_counts_for_the_broadcast(spark):
+    wide = airports(spark, (50.0, 10.0, "A", "x")).withColumn("note", F.repeat(F.lit("z"), 100_000))
+    nested = airports(spark, (50.0, 10.0, "A", "x")).withColumn("note", F.array(F.repeat(F.lit("z"), 100_000)))
+    assert min(map(proximity.replicated_bytes, (wide, nested))) > 900_000

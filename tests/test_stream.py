@@ -167,3 +167,16 @@ def test_stored_times_are_utc_seconds(spark, tmp_path):
     process(spark, tables, batch(1), 0)
     stored = tables.read(spark, "flight_events").select(F.unix_seconds("timestamp").alias("s"))
     assert column(stored, "s") == [1_700_000_000]
+
+
+def test_bad_numbers_do_not_stop_the_stream(spark, tmp_path, surge_log):
+    files, base = tmp_path / "in", tmp_path / "out"
+    text = json.dumps(EVENT | {"velocity": 1.5}).replace("1.5", "Infinity")
+    wild = json.dumps(EVENT | {"icao24": "w", "vertical_rate": 1.5}).replace("1.5", "Infinity")
+    drop_file(files, 0, batch(12))
+    with open(next(files.iterdir()), "a") as out:
+        out.write("\n" + text + "\n" + wild + "\n")
+    drop_file(files, 1, batch(13, start=20))
+    tables = drain(spark, files, base, surge_log)
+    assert set(counts(spark, tables)) == {(0, "DE-BY"), (1, "DE-BY")}
+    assert tables.read(spark, "flight_events").where("velocity = double('Infinity')").count() == 0
