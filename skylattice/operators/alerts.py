@@ -8,20 +8,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import fixed_text
+from ..sources.storage import materialize
 from .pick import latest, one_per_key
 
 # Tier limits of the congestion index, and the columns of an alert.
 HIGH_ABOVE, MEDIUM_ABOVE = 1.2, 0.8
 COLUMNS = ["type", "level", "region", "message"]
 
-_BATCHES_PER_BLOCK = 4096
-
 
 def _tier(high: float, medium: float) -> Column:
     aci = F.col("aci")
     return F.when(aci > high, "HIGH").when(aci > medium, "MEDIUM")
 
 
+# The wordings of the messages below are fixed values, too.
 def congestion_alerts(
     metrics: DataFrame, *, high: float = HIGH_ABOVE, medium: float = MEDIUM_ABOVE
 ) -> DataFrame:
@@ -75,12 +75,14 @@ def surge_rows(current: DataFrame, previous: DataFrame, *, pct: float = 50) -> D
 def previous_batches(counts: DataFrame) -> DataFrame:
     """Each non-empty batch with the non-empty batch before it.
 
-    Ordered inside blocks of batch ids; only the last id of each block goes through the
-    one global ordering, so no task sees more than a sliver of the history.
+    The ids are cut into ranges of like number, however they are spaced; only the last id
+    of each range goes through the one global ordering. The ranges are stored, because a
+    second pass might cut them elsewhere.
     """
     ids = counts.select("batch_id").distinct()
-    block = F.floor(F.col("batch_id") / _BATCHES_PER_BLOCK)
-    ids = ids.withColumn("block", block)
+    ranges = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = ids.repartitionByRange(ranges, "batch_id")
+    ids = materialize(ranged.withColumn("block", F.spark_partition_id()))
     ends = ids.groupBy("block").agg(F.max("batch_id").alias("end"))
     ends = ends.select("block", F.lag("end").over(Window.orderBy("block")).alias("end_before"))
     inside = F.lag("batch_id").over(Window.partitionBy("block").orderBy("batch_id"))
@@ -92,7 +94,12 @@ def previous_batches(counts: DataFrame) -> DataFrame:
 
 
 def surge_history(counts: DataFrame, *, pct: float = 50) -> DataFrame:
-    """Surges of a whole history of (batch_id, region, aircraft_count) rows."""
+    """Surges of a whole history of (batch_id, region, aircraft_count) rows.
+
+    The counts are read three times, so they are stored first: what they are summed up
+    from is read once.
+    """
+    counts = materialize(counts.select("batch_id", "region", "aircraft_count"))
     window = Window.partitionBy("region").orderBy("batch_id")
     linked = counts.withColumns(
         {

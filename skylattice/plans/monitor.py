@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import flight
@@ -39,9 +39,15 @@ EVENT_COLUMNS = [
 CONGESTED_ABOVE = 0.8
 
 
+def _newest_first(df: DataFrame, key: str) -> list[Column]:
+    """By time, key, and the batch that wrote the row where the table says so."""
+    batch = [F.col("batch_id").desc()] if "batch_id" in df.columns else []
+    return [F.col("timestamp").desc(), F.col(key).asc(), *batch]
+
+
 def scan(df: DataFrame, table: str, limit: int | None = None) -> DataFrame:
     """The newest rows of a result table."""
-    newest = [F.col("timestamp").desc(), F.col(SCAN_KEYS[table]).asc()]
+    newest = _newest_first(df, SCAN_KEYS[table])
     return recent(df, newest, SCAN_LIMITS[table] if limit is None else limit)
 
 
@@ -70,7 +76,7 @@ def map_points(flight_events: DataFrame) -> DataFrame:
 
 
 def anomaly_list(anomaly_logs: DataFrame, n: int = 8) -> DataFrame:
-    newest = [F.col("timestamp").desc(), F.col("icao24").asc()]
+    newest = _newest_first(anomaly_logs, "icao24")
     return project_available(recent(anomaly_logs, newest, n), ["icao24", "reason"])
 
 
@@ -115,14 +121,14 @@ def altitude_histogram(flight_events: DataFrame, *, bins: int = 40) -> DataFrame
     )
 
 
-def speed_summary(flight_events: DataFrame, *, rows: int | None = None) -> DataFrame:
+def speed_summary(flight_events: DataFrame) -> DataFrame:
     """Quartiles, range and mean of the speed in km/h.
 
-    A large table is read several times for the quartiles: pass stored rows, or store
+    The table is read several times for the quartiles: pass stored rows, or store
     them with ``sources.storage.materialize`` first.
     """
     speeds = flight_events.select(flight.speed_kmh(F.col("velocity")).alias("speed_kmh")).dropna()
-    quartiles = exact_quantiles(speeds, "speed_kmh", [0.25, 0.5, 0.75], rows=rows)
+    quartiles = exact_quantiles(speeds, "speed_kmh", [0.25, 0.5, 0.75])
     return speeds.agg(
         F.count(F.lit(1)).alias("flights"),
         F.min("speed_kmh").alias("min_speed"),
@@ -143,5 +149,5 @@ def status_breakdown(flight_events: DataFrame) -> DataFrame:
 
 
 def recent_events(flight_events: DataFrame, n: int = 50) -> DataFrame:
-    newest = [F.col("timestamp").desc(), F.col("icao24").asc()]
+    newest = _newest_first(flight_events, "icao24")
     return project_available(recent(flight_events, newest, n), EVENT_COLUMNS)

@@ -31,6 +31,9 @@ AIRPORTS = _struct(
     ap_lat=_double, ap_lon=_double, iso_country=_text, iso_region=_text, type=_text
 )
 
+#: Keys of result tables: a later row of equal key replaces an earlier one.
+KEYS = {"flight_events": ("icao24", "timestamp")}
+
 #: Result tables, without the ``batch_id`` partition column.
 TABLES = {
     "flight_events": _struct(

@@ -2,54 +2,107 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import LongType, StructField, StructType
 
-from ..schemas import TABLES
+from ..operators.pick import upsert_view
+from ..schemas import KEYS, TABLES
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-_local_dirs: dict[str, str] = {}
+_LOCAL_SCHEMES = ("", "file")
+_seen_by_all: set[tuple[str, str]] = set()
+_copies: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a session whose executors are threads of this machine may fall back to a
-    temporary folder.
+    Where it is unset, a session whose executors are threads of this machine uses a folder
+    beside its warehouse, and any other session is refused. A path without the scheme of a
+    shared store is tried out before a cluster uses it.
     """
     named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-    app = spark.sparkContext.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="skylattice-")
-    return _local_dirs[app]
+    master = spark.sparkContext.master
+    own_threads = master.startswith("local") and not master.startswith("local-cluster")
+    if not named:
+        if not own_threads:
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
+        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
+    folder = named.rstrip("/")
+    if not own_threads and folder.partition(":")[0 if ":" in folder else 2] in _LOCAL_SCHEMES:
+        _check_seen_by_all(spark, folder)
+    return folder
+
+
+def _check_seen_by_all(spark: SparkSession, folder: str) -> None:
+    """A file the driver writes must be readable in a task, as on a mounted share."""
+    known = (spark.sparkContext.applicationId, folder)
+    if known in _seen_by_all:
+        return
+    fs, path = _file_system(spark, f"{folder}/probe-{uuid.uuid4().hex}")
+    out = fs.create(path, True)
+    out.writeBytes("seen")
+    out.close()
+    try:
+        if spark.read.text(path.toString()).count() != 1:
+            raise ValueError(f"{folder} is not shared by all executors")
+    finally:
+        fs.delete(path, False)
+    _seen_by_all.add(known)
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the files.
 
-    For operators that read their input several times. The copy outlives lost
-    executors, unlike cached blocks, and is columnar.
+    For operators that read their input several times. The copy outlives lost executors,
+    unlike cached blocks, and is columnar. It is deleted at the end of the ``scratch``
+    block it was made in, or else with the application.
     """
-    path = f"{shared_dir(df.sparkSession)}/materialized/{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/materialized/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    fs, at = _file_system(spark, path)
+    fs.deleteOnExit(at)
+    _copies.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the copies materialised inside the block when it ends.
+
+    Results that are read later must be stored elsewhere by then.
+    """
+    before = len(_copies)
+    try:
+        yield
+    finally:
+        for path in _copies[before:]:
+            fs, at = _file_system(spark, path)
+            fs.delete(at, True)
+            fs.cancelDeleteOnExit(at)
+        del _copies[before:]
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _file_system(spark, path)
+    return fs.exists(at)
 
 
 def folder_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries of ``path`` (one listing call); empty when it is absent."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return []
-    return [status.getPath().getName() for status in fs.listStatus(folder)]
+    fs, at = _file_system(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(at)] if fs.exists(at) else []
 
 
 class ResultTables:
@@ -61,6 +114,7 @@ class ResultTables:
     """
 
     KEY = "batch_id"
+    POINTER = "_newest"
 
     def __init__(self, base: str):
         self.base = base.rstrip("/")
@@ -75,13 +129,47 @@ class ResultTables:
         df.select(*columns).write.mode("overwrite").parquet(
             f"{self.path(name)}/{self.KEY}={batch_id}"
         )
+        self._point(df.sparkSession, name, batch_id)
+
+    def _pointer(self, spark: SparkSession, name: str) -> list[int]:
+        """The newest stored batch and the one before it, as far as there are any."""
+        fs, path = _file_system(spark, f"{self.path(name)}/{self.POINTER}")
+        if not fs.exists(path):
+            return []
+        source = fs.open(path)
+        line = source.readLine()
+        source.close()
+        return [int(x) for x in (line or "").split()]
+
+    def _point(self, spark: SparkSession, name: str, batch_id: int) -> None:
+        """Note the newest batch after it is stored; a replayed or older one changes nothing.
+
+        A crash in between leaves the older note, which is right for the replay to come.
+        """
+        noted = self._pointer(spark, name)
+        if noted and noted[0] >= batch_id:
+            return
+        if not noted:  # tables of unknown history
+            before = self._listed_before(spark, name, batch_id)
+            noted = [] if before is None else [before]
+        fs, path = _file_system(spark, f"{self.path(name)}/{self.POINTER}")
+        _, fresh = _file_system(spark, f"{self.path(name)}/{self.POINTER}-{uuid.uuid4().hex}")
+        out = fs.create(fresh, True)
+        out.writeBytes(" ".join(map(str, [batch_id, *noted[:1]])))
+        out.close()
+        fs.delete(path, False)  # without a note the folders are listed
+        fs.rename(fresh, path)
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         schema = StructType([*TABLES[name].fields, StructField(self.KEY, LongType())])
-        if not folder_names(spark, self.path(name)):
+        if not exists(spark, self.path(name)):
             return spark.createDataFrame([], schema)
         return spark.read.schema(schema).parquet(self.path(name))
 
+    def current(self, spark: SparkSession, name: str) -> DataFrame:
+        """The table as a keyed store holds it: a later batch replaces rows of equal key."""
+        return upsert_view(self.read(spark, name), KEYS[name])
+
     def read_batch(self, spark: SparkSession, name: str, batch_id: int) -> DataFrame:
         path = f"{self.path(name)}/{self.KEY}={batch_id}"
         return spark.read.schema(TABLES[name]).parquet(path)
@@ -89,8 +177,17 @@ class ResultTables:
     def batch_before(self, spark: SparkSession, name: str, batch_id: int) -> int | None:
         """Greatest stored batch id below ``batch_id``.
 
-        Read off the folder names, so no file is opened however long the history is.
+        The note of the newest batches answers for the batch that runs now, also when it is
+        run again, however long the history is; for older ones the folders are listed.
         """
+        noted = self._pointer(spark, name)
+        if noted and noted[0] < batch_id:
+            return noted[0]
+        if noted and noted[0] == batch_id:
+            return noted[1] if len(noted) > 1 else None
+        return self._listed_before(spark, name, batch_id)
+
+    def _listed_before(self, spark: SparkSession, name: str, batch_id: int) -> int | None:
         prefix = f"{self.KEY}="
         stored = [
             int(entry[len(prefix) :])

@@ -69,12 +69,32 @@ def test_history_looks_at_the_previous_batch_only(spark):
 
 
 def test_previous_batch_across_blocks(spark):
-    ids = [0, 1, 4095, 4096, 4097, 20000, 20001, 90000]
+    ids = [0, 1, 4095, 4096, 4097, 20000, 20001, 90000, *range(10**12, 10**12 + 10**8, 10**6)]
     links = alerts.previous_batches(counts(spark, *[(i, r, 1) for i in ids for r in "ab"]))
     got = {r["batch_id"]: r["previous_batch"] for r in links.collect()}
     assert got == dict(zip(ids, [None, *ids]))
 
 
+def test_sparse_ids_do_not_meet_in_one_task(spark):
+    """Ids far apart fall into few ranges; one range's worth is all that a task orders."""
+    history = spark.range(5000).selectExpr(
+        "id * 10000000 AS batch_id", "'a' AS region", "1L AS aircraft_count"
+    )
+    plan = alerts.previous_batches(history)
+    assert plan.where("previous_batch = batch_id - 10000000").count() == 4999
+    stored = history.sparkSession.read.parquet(plan.inputFiles()[0].rpartition("/")[0])
+    ranges = [r["count"] for r in stored.groupBy("block").count().collect()]
+    assert len(ranges) == 8 and max(ranges) < 1500
+
+
+def test_history_reads_its_input_once(spark, tmp_path):
+    spark.range(50).selectExpr("id AS batch_id", "'a' AS region", "id AS aircraft_count").write.parquet(
+        f"{tmp_path}/counts"
+    )
+    found = alerts.surge_history(spark.read.parquet(f"{tmp_path}/counts"))
+    assert not any("counts" in f.rpartition("/")[0] for f in found.inputFiles())
+
+
 def test_history_equals_step_by_step(spark):
     steps = [counts(spark, (i, "a", (i * 7) % 11), (i, "b", (i * 5) % 7)) for i in range(1, 12)]
     whole = steps[0]

