@@ -7,8 +7,8 @@ closest centre first, and so lists leaves in the order in which they promise nei
 leaves a search visits is widened until calibration queries, whose true neighbours are known from
 a scan of all rows, reach the wanted recall.
 
-Visits are a join of queries and rows on the leaf; leaves are split into cells of bounded size, so
-a hot leaf (one vector many times over) is many tasks' work.
+Visits are a join of queries and rows on the leaf. Its rows are split into cells and the queries that
+visit it into slices of bounded size, so a hot leaf (one vector many times over) is many tasks' work.
 """
 
 from __future__ import annotations
@@ -164,12 +164,19 @@ def _scan(rows: DataFrame, queries: np.ndarray, ids: np.ndarray, top: int) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q, own = shared.value
+        kept = np.array([], dtype=np.int64), np.array([], dtype=np.int64), np.array([])
         for batch in batches:
-            at, found, score = best(q, _matrix(batch.column("x")), batch.column("vec_id").to_numpy(), own, top)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(own[at], pa.int64()), pa.array(found, pa.int64()), pa.array(score)],
-                names=["query_id", "vec_id", "score"],
-            )
+            more = best(q, _matrix(batch.column("x")), batch.column("vec_id").to_numpy(), own, top)
+            at, found, score = map(np.concatenate, zip(kept, more))
+            order = np.lexsort((found, -score, at))
+            first = np.searchsorted(at[order], at[order], "left")
+            order = order[np.arange(len(order)) - first < top]
+            kept = at[order], found[order], score[order]
+        at, found, score = kept
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(own[at], pa.int64()), pa.array(found, pa.int64()), pa.array(score)],
+            names=["query_id", "vec_id", "score"],
+        )
 
     return _top(rows.select("vec_id", "x").mapInArrow(run, _FOUND), top)
 
@@ -220,22 +227,31 @@ def search(
         flat = lambda q: np.append(np.asarray(q, dtype=np.float64), 0.0)
         return pd.Series([own.order(flat(q), visits) for q in x])
 
-    sizes = placed.groupBy("leaf").count()
-    cells = sizes.select("leaf", F.ceil(F.col("count") / CELL_ROWS).cast("int").alias("cells"))
-    cells = F.broadcast(cells)  # one row per leaf: at most the sample's size
-    asks = (
-        wanted.select(F.col("vec_id").alias("query_id"), "x", F.pandas_udf(bins, "array<bigint>")("x").alias("bins"))
-        .select("query_id", "x", F.explode("bins").alias("leaf"))
-        .join(cells, "leaf")
-        .select(
-            "query_id",
+    asks = materialize(
+        wanted.select(
+            F.col("vec_id").alias("query_id"),
             F.col("x").alias("q"),
-            F.col("leaf").alias("bin"),
-            F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"),
+            F.pandas_udf(bins, "array<bigint>")("x").alias("bins"),
         )
     )
-    stock = placed.join(cells, "leaf").withColumn(
-        "cell", F.pmod(F.xxhash64("vec_id"), F.col("cells")).cast("int")
+    parts = lambda n: F.ceil(F.col(n) / CELL_ROWS).cast("int")
+    rows_of = placed.groupBy("leaf").agg(F.count("*").alias("rows"))
+    asks_of = asks.select(F.explode("bins").alias("leaf")).groupBy("leaf").agg(F.count("*").alias("asks"))
+    # One row per leaf: at most the sample's size.
+    split = F.broadcast(
+        materialize(rows_of.join(asks_of, "leaf").select("leaf", parts("rows").alias("cells"), parts("asks").alias("slices")))
+    )
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    asks = (
+        asks.select("query_id", "q", F.explode("bins").alias("leaf"))
+        .join(split, "leaf")
+        .withColumn("slice", F.pmod(F.xxhash64("query_id"), F.col("slices")).cast("int"))
+        .select("query_id", "q", F.col("leaf").alias("bin"), "slice", every("cells").alias("cell"))
+    )
+    stock = (
+        placed.join(split, "leaf")
+        .withColumn("cell", F.pmod(F.xxhash64("vec_id"), F.col("cells")).cast("int"))
+        .select("leaf", "cell", "vec_id", "x", every("slices").alias("slice"))
     )
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -248,8 +264,8 @@ def search(
         )
 
     found = (
-        asks.groupBy("bin", "cell")
-        .cogroup(stock.select("leaf", "cell", "vec_id", "x").groupBy("leaf", "cell"))
+        asks.groupBy("bin", "cell", "slice")
+        .cogroup(stock.groupBy("leaf", "cell", "slice"))
         .applyInArrow(meet, _FOUND)
     )
     return _top(found, top).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

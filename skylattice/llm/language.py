@@ -23,7 +23,7 @@ from .rows import prepare, slices, texts_of
 UNKNOWN = "und"
 BITS = 12
 SIZE = 1 << BITS
-PER_LANGUAGE = 400
+PER_LANGUAGE = 250
 PIECE = 1 << 20  # characters hashed at a time
 
 # Families of common languages by their codes; any other is a family of its own.
@@ -101,11 +101,12 @@ class Machine:
         return x @ self.weights + self.bias
 
 
-def train(x: np.ndarray, positive: np.ndarray, cost: float = 10.0, steps: int = 120) -> Machine:
+def train(x: np.ndarray, positive: np.ndarray, cost: float = 10.0, steps: int = 100) -> Machine:
     """Squared hinge loss by accelerated gradient steps; sides weigh alike whatever their sizes."""
-    y = np.where(positive, 1.0, -1.0)
-    weight = np.where(positive, 0.5 / max(1, positive.sum()), 0.5 / max(1, (~positive).sum()))
-    w, b = np.zeros(x.shape[1]), 0.0
+    y = np.where(positive, 1.0, -1.0).astype(x.dtype)
+    sides = max(1, positive.sum()), max(1, (~positive).sum())
+    weight = np.where(positive, 0.5 / sides[0], 0.5 / sides[1]).astype(x.dtype)
+    w, b = np.zeros(x.shape[1], dtype=x.dtype), 0.0
     ahead_w, ahead_b, t = w, b, 1.0
     rate = 1.0 / (1.0 / cost + 4.0)  # rows have length 1, the bias adds as much
     for _ in range(steps):
@@ -113,7 +114,7 @@ def train(x: np.ndarray, positive: np.ndarray, cost: float = 10.0, steps: int =
         pull = weight * y * slack * 2
         new_w = ahead_w - rate * (ahead_w / cost - x.T @ pull)
         new_b = ahead_b + rate * pull.sum()
-        t_next = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        t_next = float(1 + np.sqrt(1 + 4 * t * t)) / 2
         ahead_w = new_w + (t - 1) / t_next * (new_w - w)
         ahead_b = new_b + (t - 1) / t_next * (new_b - b)
         w, b, t = new_w, new_b, t_next
@@ -164,7 +165,10 @@ def fit(x: np.ndarray, labels: list[str]) -> Model:
     model.families = sorted(set(group))
     for name in model.families:
         inside = group == name
-        if len(model.families) > 1:
+        if len(model.families) == 2 and model.of_family:  # the other side of the same cut
+            (first,) = model.of_family.values()
+            model.of_family[name] = Machine(-first.weights, -first.bias)
+        elif len(model.families) > 1:
             model.of_family[name] = train(x, inside)
         else:
             model.of_family[name] = Machine(np.zeros(x.shape[1]), 1.0)
@@ -204,22 +208,24 @@ def learn(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
 
     got = sample.select("lang", "text").mapInArrow(run, "lang string, x binary").collect()
     got = sorted((r["lang"], bytes(r["x"])) for r in got)
-    x = np.array([np.frombuffer(b, dtype=np.float32) for _, b in got], dtype=np.float64)
+    x = np.array([np.frombuffer(b, dtype=np.float32) for _, b in got])
     return fit(x, [lang for lang, _ in got])
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` (all columns) with ``lang_pred`` and ``score``.
+def identify(
+    docs: DataFrame, model: Model, lang_name: str = "lang_pred", score_name: str = "score"
+) -> DataFrame:
+    """``docs`` (all columns) with the predicted language and its score.
 
     ``und`` and score 0 if the text is null or has no letter, or if nothing was learned. Equal texts
     get equal results; an empty table gives no rows. Own columns of the same names are replaced.
     """
     spark = docs.sparkSession
     prepare(spark)
-    docs = docs.drop("lang_pred", "score")
+    docs = docs.drop(lang_name, score_name)
     shared = spark.sparkContext.broadcast(model)
     schema = T.StructType(
-        [*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+        [*docs.schema.fields, T.StructField(lang_name, T.StringType()), T.StructField(score_name, T.DoubleType())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,7 +239,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                     languages[i], scores[i] = name, float(value)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(languages, pa.string()), pa.array(scores, pa.float64())],
-                names=[*batch.schema.names, "lang_pred", "score"],
+                names=[*batch.schema.names, lang_name, score_name],
             )
 
     return docs.mapInArrow(run, schema)

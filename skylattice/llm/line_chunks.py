@@ -70,9 +70,10 @@ def drop_repeated_chunks(docs: DataFrame, window: int = WINDOW, divisor: int = D
     Occurrences are ordered by ``doc_id`` (null first), text hash and place; the first stays. Rows that
     repeat both ``doc_id`` and text count as one document and are treated alike. A null text stays
     null, an empty one empty; a document all of whose chunks were removed has the empty text.
-    All columns are kept; own columns live in a struct of their own, so names cannot clash. An
-    empty table gives no rows.
+    All columns are kept, but for own ones of the two names; the rest travels in a struct, so
+    names cannot clash. An empty table gives no rows.
     """
+    docs = docs.drop("removed_chunks", "removed_lines")
     keys = ["doc_id", "code_of_text"]
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
