@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .rows import materialize
 
+ROWS_PER_FILE = 500_000
+LEAST_FILES = 8
+
+
+def _stored(df: DataFrame, rows: int) -> DataFrame:
+    """A table of about ``rows`` narrow rows, in files of a sensible size."""
+    return materialize(df.coalesce(max(LEAST_FILES, rows // ROWS_PER_FILE)))
+
 
 def components(links: DataFrame) -> DataFrame:
     """``(node, label)``: the smallest node reachable over ``links`` (columns ``u``, ``v``).
@@ -16,28 +24,28 @@ def components(links: DataFrame) -> DataFrame:
     shorten by half. Ends when no label changes. Rounds are stored, never kept on one executor.
     Links with a null end and self links add nothing; no links give no rows.
     """
-    links = links.where(F.col("u") != F.col("v")).select("u", "v")
-    both = materialize(links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
-    labels = both.groupBy(F.col("u").alias("node")).agg(
-        F.least(F.min("v"), F.first("u")).alias("label")
-    )
-    labels = materialize(labels)
-    while True:
-        near = (
-            both.join(labels, both.v == labels.node)
-            .groupBy("u")
-            .agg(F.min("label").alias("near"))
+    ends = F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
+    both = materialize(links.where(F.col("u") != F.col("v")).select(F.inline(ends)))
+    neighbours = both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("near"))
+    seen = Observation()
+    labels = materialize(
+        neighbours.select("node", F.least("node", "near").alias("label")).observe(
+            seen, F.count("*").alias("nodes")
         )
-        low = labels.join(near, labels.node == near.u, "left").select(
+    )
+    nodes = seen.get["nodes"]
+    while nodes:
+        near = both.join(labels, both.v == labels.node).groupBy("u").agg(F.min("label").alias("near"))
+        low = labels.join(near, labels.node == near.u).select(
             "node", F.col("label").alias("before"), F.least("label", "near").alias("label")
         )
         of = labels.select(F.col("node").alias("label"), F.col("label").alias("beyond"))
-        stepped = materialize(
-            low.join(of, "label", "left").select(
-                "node", "before", F.least("label", F.coalesce("beyond", "label")).alias("label")
-            )
+        stepped = low.join(of, "label").select(
+            "node", "before", F.least("label", "beyond").alias("label")
         )
-        moved = stepped.where("label < before").limit(1).count()
-        labels = stepped.select("node", "label")
-        if not moved:
-            return labels
+        seen = Observation()
+        moved = F.count_if(F.col("label") < F.col("before")).alias("moved")
+        labels = _stored(stepped.observe(seen, moved).select("node", "label"), nodes)
+        if not seen.get["moved"]:
+            break
+    return labels

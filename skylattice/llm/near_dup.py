@@ -121,16 +121,14 @@ def signatures(docs: DataFrame, k: int, keys: int = KEYS, rows: int = ROWS) -> D
     return docs.select("doc_id", "text").mapInArrow(run, _SETS)
 
 
-def _shared(nodes: DataFrame, side: str) -> DataFrame:
-    """(node, keys of ``side`` that other nodes have too, as (number, key))."""
-    each = nodes.select("node", F.posexplode(side).alias("i", "key"))
-    often = each.groupBy("i", "key").agg(F.count("*").alias("n")).where("n > 1").select("i", "key")
-    return each.join(often, ["i", "key"]).groupBy("node").agg(F.collect_list(F.struct("i", "key")).alias(side))
-
-
 def meetings(nodes: DataFrame) -> DataFrame:
     """``(u, v)``: each node ``v`` with the smallest node ``u`` of every table entry that holds both."""
-    both = _shared(nodes, "left").join(_shared(nodes, "right"), "node")
+    each = nodes.select("node", "size", F.posexplode(F.concat("left", "right")).alias("i", "key"))
+    often = each.groupBy("i", "key").agg(F.count("*").alias("n")).where("n > 1").select("i", "key")
+    side = lambda left: F.collect_list(
+        F.when((F.col("i") < F.col("size")) == F.lit(left), F.struct("i", "key"))
+    )
+    both = each.join(often, ["i", "key"]).groupBy("node").agg(side(True).alias("left"), side(False).alias("right"))
     entries = both.select("node", F.explode("left").alias("a"), "right").select(
         "node", "a", F.explode("right").alias("b")
     )
@@ -211,7 +209,10 @@ def block_links(own: list[np.ndarray], comp: np.ndarray, first: int, percent: in
 
 
 def complete(groups: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
-    """``(u, v)``: links that join all components of each group, from (node, group, comp)."""
+    """``(u, v)``: links between components of a group, from (node, group, comp).
+
+    They join what belongs together: one link is given where several would join the same.
+    """
     counts = groups.groupBy("group", "comp").agg(F.count("*").alias("n"))
     of_group = counts.groupBy("group").agg(
         F.max(F.struct("n", "comp")).alias("largest"), F.sum("n").alias("all"), F.count("*").alias("comps")
@@ -246,12 +247,11 @@ def complete(groups: DataFrame, sets: DataFrame, percent: int, block: int = BLOC
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("own", "ascending"), ("node", "ascending")])
-        node = table.column("node").to_pylist()
+        comp = table.column("comp").to_numpy()
         own = table.column("own").to_numpy()
         first = int((own == table.column("low")[0].as_py()).sum())
         one = [np.asarray(s.values).view(np.uint64) for s in table.column("shingles")]
-        found = block_links(one, table.column("comp").to_numpy(), first, percent)
-        ends = [(min(node[i], node[j]), max(node[i], node[j])) for i, j in found]
+        ends = [(comp[i], comp[j]) for i, j in block_links(one, comp, first, percent)]
         return pa.table(
             [pa.array([e[0] for e in ends], pa.int64()), pa.array([e[1] for e in ends], pa.int64())],
             names=["u", "v"],
@@ -266,15 +266,22 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for batch in slices(batches):
-            own = [_signed(shingles(t, k, words)) for t in batch.column("text").to_pylist()]
+            node, own = [], []
+            columns = [batch.column(n).to_pylist() for n in ("doc_id", "code", "text")]
+            for doc_id, code, text in zip(*columns):
+                one = shingles(text, k, words)
+                if xxhash.xxh3_128_digest(one.tobytes()) == code:  # not another text of the id
+                    node.append(doc_id)
+                    own.append(_signed(one))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("code"), pa.array(own, pa.list_(pa.int64()))],
-                names=["node", "code", "shingles"],
+                [pa.array(node, pa.int64()), pa.array(own, pa.list_(pa.int64()))],
+                names=["node", "shingles"],
             )
 
     wanted = nodes.select(F.col("node").alias("doc_id"), "code")
     rows = docs.select("doc_id", "text").join(wanted, "doc_id").select("doc_id", "code", "text")
-    return rows.mapInArrow(run, "node bigint, code binary, shingles array<bigint>")
+    # The join has dealt rows out by id, so repeated rows are found without another shuffle.
+    return rows.dropDuplicates(["doc_id", "text"]).mapInArrow(run, "node bigint, shingles array<bigint>")
 
 
 def near_duplicates(
@@ -297,28 +304,35 @@ def near_duplicates(
     )
     signed = materialize(signatures(texts, k, keys, rows))
     usable = signed.where("code IS NOT NULL AND doc_id IS NOT NULL")
-    firsts = usable.groupBy("code").agg(F.min("doc_id").alias("node"))
+    first = F.min(F.struct("doc_id", "left", "right")).alias("first")
     nodes = materialize(
-        usable.join(firsts.withColumnRenamed("code", "of"), (F.col("code") == F.col("of")) & (F.col("doc_id") == F.col("node")))
-        .dropDuplicates(["node", "code"])
-        .select("node", "code", "left", "right")
+        usable.groupBy("code")
+        .agg(first)
+        .select("code", F.col("first.doc_id").alias("node"), F.lit(keys).alias("size"), "first.left", "first.right")
     )
     met = materialize(meetings(nodes))
-    involved = met.select("u").union(met.select("v")).distinct().withColumnRenamed("u", "node")
-    sets = shingle_sets(texts, nodes.select("node", "code").join(involved, "node"), k)
-    sets = materialize(sets.dropDuplicates(["node"]).select("node", "shingles"))
-    nearest = met.groupBy("v").agg(F.min("u").alias("u"))
-    links = materialize(confirmed(nearest.select("u", "v"), sets, percent))
-    group = components(met).select("node", F.col("label").alias("group"))
-    comp = components(links).select(F.col("node").alias("of"), F.col("label").alias("comp"))
-    grouped = group.join(comp, F.col("node") == F.col("of"), "left").select(
-        "node", "group", F.coalesce("comp", "node").alias("comp")
+    involved = met.select(F.col("u").alias("node")).union(met.select("v")).distinct()
+    sets = materialize(shingle_sets(texts, nodes.select("node", "code").join(involved, "node"), k))
+    nearest = met.groupBy("v").agg(F.min("u").alias("u")).select("u", "v")
+    comps = components(confirmed(nearest, sets, percent))
+    # From here on the graph is that of components; most are whole already.
+    lead = lambda node: F.coalesce("label", node)
+    left = met.join(comps, met.u == comps.node, "left").select(lead("u").alias("u"), "v")
+    open_pairs = left.join(comps, left.v == comps.node, "left").select("u", lead("v").alias("v"))
+    groups = components(open_pairs.where("u <> v").distinct())
+    members = involved.join(comps.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select(
+        "node", lead("node").alias("comp")
     )
-    more = materialize(complete(materialize(grouped), sets, percent))
-    final = components(links.union(more)).select("node", "label")
-    of_code = firsts.join(final, "node", "left").select(
-        F.col("code").alias("of"), F.coalesce("label", "node").alias("component")
+    grouped = members.join(
+        groups.select(F.col("node").alias("comp"), F.col("label").alias("group")), "comp"
     )
+    joined = components(complete(materialize(grouped.select("node", "group", "comp")), sets, percent))
+    of_node = nodes.select("code", "node").join(
+        comps.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left"
+    ).select("code", lead("node").alias("comp"))
+    of_code = of_node.join(
+        joined.withColumnRenamed("node", "of"), F.col("comp") == F.col("of"), "left"
+    ).select(F.col("code").alias("of"), lead("comp").alias("component"))
     return signed.join(of_code, F.col("code") == F.col("of"), "left").select(
         "doc_id",
         "n_shingles",
