@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .rows import materialize, prepare
+from .rows import bounded_sample, materialize, prepare
 
 SAMPLE = 20_000
 BRANCH = 8
@@ -209,7 +209,7 @@ def search(
     rows = materialize(rows.where(F.size("x") == width[0]["n"]))
     squared = F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v)
     longest = rows.agg(F.max(squared)).first()[0]
-    picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("x").collect()
+    picked = bounded_sample(rows, sample, "vec_id").select("x").collect()
     tree = build(_extended(np.array([r[0] for r in picked], dtype=np.float64), longest))
     # At most 2 * sample / 2 nodes, so this broadcast is bounded by the sample.
     shared = spark.sparkContext.broadcast((tree, longest))
@@ -273,7 +273,7 @@ def search(
 
 def calibrate(placed: DataFrame, wanted: DataFrame, tree: Tree, top: int, recall: float) -> int:
     """Leaves to visit: the fewest with which a bounded set of queries reaches ``recall``."""
-    sample = wanted.orderBy(F.xxhash64("vec_id", F.lit(1)), "vec_id").limit(CALIBRATION).collect()
+    sample = bounded_sample(wanted, CALIBRATION, "vec_id").collect()
     if not sample:
         return 1
     queries = np.array([r["x"] for r in sample], dtype=np.float64)

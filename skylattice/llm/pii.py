@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rows import count_of, prepare, slices, spans_text, texts_of
+from .rows import bounded_sample, count_of, prepare, slices, spans_text, texts_of
 
 # The patterns and kinds of the contract, in its order.
 KINDS = ("email", "ip", "card", "phone")
@@ -277,12 +277,8 @@ def label(texts: list[str], model: Model, certain: float) -> tuple[list[list], l
 
 def sample_graph(docs: DataFrame, fit_docs: int) -> Graph:
     """Nodes of the ``fit_docs`` documents of the smallest id hash that have any."""
-    rows = (
-        docs.where(F.col("text").rlike("[0-9@]"))
-        .select("text", F.xxhash64("doc_id", F.length("text")).alias("at"))
-        .orderBy("at", "text")
-        .limit(fit_docs)
-    )
+    marked = docs.where(F.col("text").rlike("[0-9@]"))
+    rows = bounded_sample(marked, fit_docs, "doc_id", "text")
 
     def windows(batches):
         # The sample carries the nodes' surroundings only: whole texts stay with the executors.

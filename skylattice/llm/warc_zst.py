@@ -21,7 +21,7 @@ from pyarrow import fs as files
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rows import materialize, prepare, shared_uri, slices
+from .rows import bounded_sample, materialize, prepare, shared_uri, slices
 
 # Fixed values of the formats.
 SKIPPABLE = 0x184D2A5D
@@ -158,13 +158,9 @@ def write_archives(
         F.col("url").cast("string").alias("url"),
         F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "utf-8").alias("payload"),
     )
-    sample = (
-        rows.where(F.length("payload") > 0)
-        .select("page_id", "url", F.substring("payload", 1, SAMPLE_BYTES // SAMPLE_ROWS).alias("payload"))
-        .orderBy(F.xxhash64("page_id", F.length("payload")), "payload")
-        .limit(SAMPLE_ROWS)
-        .collect()  # at most SAMPLE_BYTES
-    )
+    share = F.substring("payload", 1, SAMPLE_BYTES // SAMPLE_ROWS).alias("payload")
+    sample = bounded_sample(rows, SAMPLE_ROWS, "page_id", "url").select("page_id", "url", share)
+    sample = sample.where(F.length("payload") > 0).collect()  # at most SAMPLE_BYTES
     content = dictionary([record(r[0], r[1], bytes(r[2]), None, "") for r in sample], dict_bytes)
     shared = spark.sparkContext.broadcast(content)
 
