@@ -91,6 +91,7 @@ def drop_repeated_chunks(docs: DataFrame, window: int = WINDOW, divisor: int = D
         codes.join(repeated, "code")
         .groupBy(*keys)
         .agg(F.collect_set("code").alias("codes"))
+        .hint("merge")
     )
     same = lambda left, right: left["doc_id"].eqNullSafe(right["doc_id"]) & (
         left["code_of_text"] == right["code_of_text"]
@@ -116,6 +117,8 @@ def drop_repeated_chunks(docs: DataFrame, window: int = WINDOW, divisor: int = D
     untouched = marked.where("codes IS NULL").select(
         "row.*", F.lit(0).cast("bigint").alias("removed_chunks"), F.lit(0).cast("bigint").alias("removed_lines")
     )
+    # Both joins with texts are merge joins at every size: no side has a bound to broadcast under.
+    gone = gone.hint("merge")
     joined = suspects.join(gone, same(suspects, gone), "left").select(
         "row", "text", F.coalesce("gone", F.array().cast("array<int>")).alias("gone")
     )
