@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,8 +56,9 @@ class WordEncoder(dict):
         self.as_bytes = {c: split(chr(c))[0][0] for c in range(0xDF, 0x100) if c != 0xF7}
 
     def __missing__(self, piece: str) -> bytes:
-        found = self.tokenizer.model.tokenize(piece.translate(self.as_bytes))
-        ids = self[piece] = np.array([t.id for t in found], dtype="<u4").tobytes()
+        raw = piece if piece.isascii() else piece.translate(self.as_bytes)
+        found = [t.id for t in self.tokenizer.model.tokenize(raw)]
+        ids = self[piece] = struct.pack(f"<{len(found)}I", *found)
         return ids
 
     def _plain(self, text: str) -> bool:
