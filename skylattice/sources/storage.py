@@ -61,6 +61,12 @@ def _file_system(spark: SparkSession, path: str):
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the folder deleted with the application."""
+    fs, at = _file_system(spark, path)
+    fs.deleteOnExit(at)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the files.
 
@@ -71,8 +77,7 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/materialized/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    fs, at = _file_system(spark, path)
-    fs.deleteOnExit(at)
+    delete_at_exit(spark, path)
     _copies.append(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -70,9 +70,12 @@ def process_batch(
     small_airports: bool | None = None,
     batch_time: datetime | None = None,
     report: Report | None = None,
+    learn: bool = True,
 ) -> None:
     """Analyse one batch of prepared flights and write its partition of every table.
 
+    Without ``learn`` no anomalies are looked for.
+
     ``report`` receives the summaries that are shown but not stored; they are built only
     when it is given and are valid until it returns.
     """
@@ -98,7 +101,7 @@ def process_batch(
         tables.write("alerts", stamp(alerts.alert_table(metrics), now), batch_id)
 
         outliers = None
-        aircraft_count = newest.count()
+        aircraft_count = newest.count() if learn else 0
         if aircraft_count > learning.MIN_ROWS:
             scored = isolation_scores(newest, rows=aircraft_count, held=forests).persist()
             cached.append(scored)

@@ -166,7 +166,7 @@ surge_messages AS (
   FROM surges
 ),
 batched AS (
-  SELECT *, (batch_id // 6) * 10 AS batch FROM enriched
+  SELECT *, (batch_id // 10) * 10 AS batch FROM enriched
 ),
 batch_counts AS (
   SELECT batch, region, count(*) AS aircraft_count, avg(effective_capacity) AS capacity
@@ -181,9 +181,9 @@ batch_order AS (
   FROM (SELECT DISTINCT batch FROM batch_counts)
 ),
 rewritten AS (
-  SELECT s.* REPLACE (CASE WHEN (batch_id // 6) * 10 = (SELECT min(batch) FROM batched)
+  SELECT s.* REPLACE (CASE WHEN (batch_id // 10) * 10 = (SELECT min(batch) FROM batched)
                            THEN (SELECT max(batch) FROM batched) + 20
-                           ELSE (batch_id // 6) * 10 END AS batch_id)
+                           ELSE (batch_id // 10) * 10 END AS batch_id)
   FROM stored_events s
 ),
 mean_aci AS (SELECT avg(aci) AS mean_aci FROM region_now),

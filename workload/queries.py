@@ -29,7 +29,7 @@ from skylattice.schemas import FLIGHT_EVENT
 from skylattice.sources.airports import read_airports
 from skylattice.sources.events import parse_events, to_json_value
 from skylattice.sources.states import decode_states
-from skylattice.sources.storage import ResultTables, exists, materialize, shared_dir
+from skylattice.sources.storage import ResultTables, delete_at_exit, exists, materialize, shared_dir
 from skylattice.streaming import pipeline
 
 from . import tables
@@ -499,6 +499,7 @@ def _run_stream(spark, sf) -> ResultTables:
         .parquet(f"{sf}/events.parquet*")
     )
     messages = to_json_value(tables.flights_from(source).select(*FLIGHT_EVENT.names))
+    delete_at_exit(spark, base)
     stored = ResultTables(f"{base}/tables")
     pipeline.start(
         parse_events(messages),
@@ -523,17 +524,18 @@ def stream_flight_events(spark, sf):
     return plain(_run_stream(spark, sf).read(spark, "flight_events").drop("batch_id"))
 
 
-BATCH_DAYS = 6
+BATCH_DAYS = 10
 BATCH_TIME = datetime(2026, 1, 1, tzinfo=timezone.utc)
 
 
 def _run_batches(spark, sf) -> tuple[ResultTables, list[int]]:
-    """The events as several batches: six days each, an empty one, and the first days again.
+    """The events as several batches: ten days each, an empty one, and the first days again.
 
     Batches are numbered by their days, with gaps; the empty batch falls into a gap, the
     repeated one comes last, and the last but one is processed twice, as after a crash.
     """
     stored = ResultTables(f"{shared_dir(spark)}/batches-{uuid.uuid4().hex}")
+    delete_at_exit(spark, stored.base)
     airports = materialize(tables.airports(spark, sf))
     flights = materialize(prepare(tables.flights(spark, sf)))
     number = F.floor(F.col("batch_id") / BATCH_DAYS) * 10
@@ -549,6 +551,7 @@ def _run_batches(spark, sf) -> tuple[ResultTables, list[int]]:
             airports=airports,
             tables=stored,
             batch_time=BATCH_TIME,
+            learn=False,
         )
     return stored, [n for n, _ in steps]
 

@@ -15,7 +15,7 @@ from skylattice.operators import traffic
 from skylattice.operators.pick import upsert_view
 from skylattice.plans.enrich import enrich, ml_aircraft, prepare
 from skylattice.schemas import FLIGHT_EVENT, TABLES
-from skylattice.sources.storage import shared_dir
+from skylattice.sources.storage import delete_at_exit, shared_dir
 from skylattice.functions import flight
 
 DAY_SECONDS = 86400
@@ -162,4 +162,5 @@ def airports_csv(spark: SparkSession, sf_dir: str) -> str:
         F.substring("iso_region", 1, 2).alias("iso_country"),
         "iso_region",
     ).write.option("header", True).csv(path)
+    delete_at_exit(spark, path)
     return path
