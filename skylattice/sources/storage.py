@@ -61,6 +61,15 @@ def _file_system(spark: SparkSession, path: str):
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """A small file, deleted with the application."""
+    fs, at = _file_system(spark, path)
+    out = fs.create(at, True)
+    out.write(bytearray(content))
+    out.close()
+    fs.deleteOnExit(at)
+
+
 def delete_at_exit(spark: SparkSession, path: str) -> None:
     """Have the folder deleted with the application."""
     fs, at = _file_system(spark, path)
