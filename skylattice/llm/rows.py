@@ -8,11 +8,10 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyarrow import fs as files
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.storage import materialize, shared_dir
+from ..sources.storage import materialize, shared_dir, write_bytes
 
 __all__ = ["materialize", "shared_dir", "read", "bounded_sample", "prepare", "shared_uri", "count_of", "slices", "texts_of", "spans_text"]
 
@@ -42,12 +41,9 @@ def prepare(spark: SparkSession) -> None:
     with zipfile.ZipFile(content, "w") as archive:
         for source in sorted(package.rglob("*.py")):
             archive.write(source, source.relative_to(package.parent))
-    uri = f"{shared_uri(spark)}/{package.name}-{context.applicationId}.zip"
-    target, path = files.FileSystem.from_uri(uri)
-    target.create_dir(path.rpartition("/")[0], recursive=True)
-    with target.open_output_stream(path) as out:
-        out.write(content.getvalue())
-    context.addPyFile(uri)
+    path = f"{shared_dir(spark)}/{package.name}-{context.applicationId}.zip"
+    write_bytes(spark, path, content.getvalue())
+    context.addPyFile(path)
 
 
 def shared_uri(spark: SparkSession) -> str:
