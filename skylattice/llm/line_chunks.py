@@ -4,6 +4,9 @@ Every line has a hash; a polynomial hash rolled over the last ``window`` line ha
 where it is divisible by ``divisor``. Boundaries depend on nearby lines alone, so an inserted line
 shifts none beyond it. Chunks of two or more lines whose hash appears more than once are compared
 byte by byte, and every occurrence but the first of a text is removed.
+
+``drop_repeated_runs`` sets a boundary at every filled line instead, with two filled lines a chunk,
+so that the chunks overlap and every repeated run of two or more filled lines is found whole.
 """
 
 from __future__ import annotations
@@ -136,3 +139,101 @@ def drop_repeated_chunks(docs: DataFrame, window: int = WINDOW, divisor: int = D
         *columns, F.size("gone").cast("bigint").alias("removed_chunks"), lines.alias("removed_lines")
     )
     return untouched.union(touched)
+
+
+def _filled(line: Column) -> Column:
+    return F.trim(F.translate(line, "\r\t", "  ")) != ""
+
+
+def _with_pairs(docs: DataFrame, text: str) -> DataFrame:
+    """Adds ``lines`` and ``filled``, the numbers (from 1) of the lines that are not blank."""
+    rows = docs.withColumn("lines", _once(F.coalesce(F.split(text, "\n", -1), F.array().cast("array<string>"))))
+    numbers = F.when(F.size("lines") > 0, F.sequence(F.lit(1), F.size("lines"))).otherwise(
+        F.array().cast("array<int>")
+    )
+    return rows.withColumn("filled", _once(F.filter(numbers, lambda i: _filled(F.get("lines", i - 1)))))
+
+
+def _pair(k: Column) -> tuple[Column, Column]:
+    """The two filled lines of chunk ``k`` (from 1)."""
+    return tuple(F.get("lines", F.get("filled", k - 1 + t) - 1) for t in range(2))
+
+
+def drop_repeated_runs(docs: DataFrame) -> DataFrame:
+    """Like ``drop_repeated_chunks``, but no repeated run of two or more filled lines stays.
+
+    A line goes if it and a neighbouring filled line occur earlier as neighbours, too, and blank lines go
+    with the line before them; blank lines between neighbours do not count. The first occurrence of every
+    line stays. ``removed_chunks`` counts the runs taken out.
+    """
+    docs = docs.drop("removed_chunks", "removed_lines")
+    keys = ["doc_id", "code_of_text"]
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.xxhash64("text").alias("code_of_text"),
+    )
+    paired = _with_pairs(docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.xxhash64("text").alias("code_of_text"),
+        F.col("text").cast("string").alias("text"),
+    ), "text")
+    every = F.when(F.size("filled") > 1, F.sequence(F.lit(1), F.size("filled") - 1))
+    coded = F.transform(every, lambda k: F.struct(k.alias("k"), F.xxhash64(*_pair(k)).alias("code")))
+    codes = materialize(paired.select(*keys, F.explode(coded).alias("c")).select(*keys, "c.k", "c.code"))
+    place = F.struct(*keys, "k")
+    # Repeated rows have equal places, so they do not count as repeats.
+    repeated = codes.groupBy("code").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a < b")
+    hits = (
+        codes.join(repeated.select("code"), "code")
+        .groupBy(*keys)
+        .agg(F.collect_set("k").alias("ks"))
+        .hint("merge")
+    )
+    same = lambda left, right: left["doc_id"].eqNullSafe(right["doc_id"]) & (
+        left["code_of_text"] == right["code_of_text"]
+    )
+    marked = materialize(
+        rows.join(hits, same(rows, hits), "left").select("row", rows["doc_id"], rows["code_of_text"], "ks")
+    )
+    # Bytes are compared for repeated codes alone.
+    suspects = marked.where("ks IS NOT NULL").withColumn("text", F.col("row.text").cast("string"))
+    body = lambda k: F.struct(k.alias("k"), F.array_join(F.array(*_pair(k)), "\n").alias("body"))
+    bodies = (
+        _with_pairs(suspects, "text")
+        .select(*keys, F.explode(F.transform("ks", body)).alias("c"))
+        .select(*keys, "c.k", "c.body")
+    )
+    first = bodies.groupBy("body").agg(F.min(place).alias("first"))
+    gone = materialize(
+        bodies.join(first, "body")
+        .where(F.col("first") < place)
+        .groupBy(*keys)
+        .agg(F.collect_set("k").alias("gone"))
+    )
+    untouched = marked.where("ks IS NULL").select(
+        "row.*", F.lit(0).cast("bigint").alias("removed_chunks"), F.lit(0).cast("bigint").alias("removed_lines")
+    )
+    gone = gone.hint("merge")
+    # Chunk k is the filled lines k and k + 1, each with the blank lines after it; sets keep this linear.
+    both = F.array_sort(F.array_union("gone", F.transform("gone", lambda k: k + 1)))
+    joined = suspects.join(gone, same(suspects, gone), "left").select(
+        "row", "text", F.coalesce(both, F.array().cast("array<int>")).alias("gone")
+    )
+    cut = _with_pairs(joined, "text")
+    end = lambda j: F.coalesce(F.get("filled", j), F.size("lines") + 1) - 1
+    cut = cut.withColumn("off", F.flatten(F.transform("gone", lambda j: F.sequence(F.get("filled", j - 1), end(j)))))
+    stays = F.array_except(F.sequence(F.lit(1), F.size("lines")), "off")
+    cut = cut.withColumn("left_over", F.transform(stays, lambda i: F.get("lines", i - 1)))
+    # A run starts where the filled line before is not among the lines that go.
+    starts = F.array_except("gone", F.transform("gone", lambda j: j + 1))
+    columns = [
+        F.when(F.size("gone") == 0, F.col("text")).otherwise(F.array_join("left_over", "\n")).alias("text")
+        if c == "text"
+        else F.col(f"row.`{c}`")
+        for c in docs.columns
+    ]
+    touched = cut.select(
+        *columns, F.size(starts).cast("bigint").alias("removed_chunks"), F.size("off").cast("bigint").alias("removed_lines")
+    )
+    return untouched.union(touched)

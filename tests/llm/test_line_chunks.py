@@ -77,3 +77,54 @@ def test_hard_rows(spark):
     five, six = ([r for r in found if r["doc_id"] == i] for i in (5, 6))
     assert len(six) == 2 and six[0] == six[1]
     assert line_chunks.drop_repeated_chunks(rows.limit(0)).count() == 0
+
+
+def brute_runs(texts):
+    """Texts without the lines of every run of two or more filled lines that occurs earlier."""
+    docs = [None if t is None else t.split("\n") for t in texts]
+    first, gone = {}, []
+    for d, lines in enumerate(docs):
+        filled = [i for i, x in enumerate(lines or []) if x.strip(" \r\t")]
+        off = set()
+        for k, (i, j) in enumerate(zip(filled, filled[1:])):
+            if first.setdefault((lines[i], lines[j]), (d, k)) != (d, k):
+                off |= {k, k + 1}
+        gone.append({
+            i for k in off for i in range(filled[k], filled[k + 1] if k + 1 < len(filled) else len(lines))
+        })
+    return [None if x is None else "\n".join(t for i, t in enumerate(x) if i not in g) for x, g in zip(docs, gone)]
+
+
+def test_no_repeated_run_stays(spark):
+    """Passages of every length from two lines on, anywhere in their texts, all go: recall 1."""
+    rng = random.Random(21)
+    texts, copied = [], []
+    for n in range(60):
+        passage = [sentence(rng, 30) for _ in range(2 + n % 6)]
+        for _ in range(2):
+            own = lambda: [sentence(rng, 6) for _ in range(rng.randint(0, 3))]
+            texts.append("\n".join([*own(), *passage[:1], *[""] * rng.randint(0, 1), *passage[1:], *own()]))
+        copied.append((2 * n + 1, passage))
+    texts += [None, "", "\n\n\n", "a\nb\na\nb", "\n\t\na b\n\nc d\n", "a b\nc d", "c d", "c d"]
+    cut = line_chunks.drop_repeated_runs(documents(spark, texts)).orderBy("doc_id")
+    got = cut.collect()
+    assert [r["text"] for r in got] == brute_runs(texts)
+    assert [r["text"] for r in cut.select("doc_id", "text").collect()] == [r["text"] for r in got]
+    assert not [d for d, passage in copied if any(line in got[d]["text"] for line in passage)]
+    assert sum(r["removed_chunks"] for r in got) == 62
+    assert all((r["removed_chunks"] > 0) == (r["removed_lines"] > 0) for r in got)
+
+
+def test_runs_of_hard_rows(spark):
+    rows = hard(spark)
+    got = line_chunks.drop_repeated_runs(rows)
+    assert got.columns == [*rows.columns, "removed_chunks", "removed_lines"]
+    found = got.collect()
+    assert len(found) == 11
+    assert all(r["row"] == "mine" and r["lines"] == "mine" for r in found)
+    assert {r["doc_id"]: r["text"] for r in found}[1] is None
+    six = [r for r in found if r["doc_id"] == 6]
+    assert len(six) == 2 and [r["text"] for r in six] == ["", ""]
+    assert line_chunks.drop_repeated_runs(rows.limit(0)).count() == 0
+    plan = got._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
