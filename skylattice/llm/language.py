@@ -219,20 +219,26 @@ def learn(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
 
 
 def identify(
-    docs: DataFrame, model: Model, lang_name: str = "lang_pred", score_name: str = "score"
+    docs: DataFrame,
+    model: Model,
+    lang_name: str = "lang_pred",
+    score_name: str = "score",
+    letters_name: str | None = None,
 ) -> DataFrame:
     """``docs`` (all columns) with the predicted language and its score.
 
     ``und`` and score 0 if the text is null or has no letter, or if nothing was learned. Equal texts
     get equal results; an empty table gives no rows. Own columns of the same names are replaced.
+    ``letters_name`` adds whether the text has a letter, which no label or model can change.
     """
     spark = docs.sparkSession
     prepare(spark)
-    docs = docs.drop(lang_name, score_name)
+    added = [T.StructField(lang_name, T.StringType()), T.StructField(score_name, T.DoubleType())]
+    if letters_name:
+        added.append(T.StructField(letters_name, T.BooleanType()))
+    docs = docs.drop(*[f.name for f in added])
     shared = spark.sparkContext.broadcast(model)
-    schema = T.StructType(
-        [*docs.schema.fields, T.StructField(lang_name, T.StringType()), T.StructField(score_name, T.DoubleType())]
-    )
+    schema = T.StructType([*docs.schema.fields, *added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -243,9 +249,11 @@ def identify(
                 names, values = shared.value.predict(np.array([found[i] for i in known]))
                 for i, name, value in zip(known, names, values):
                     languages[i], scores[i] = name, float(value)
+            columns = [pa.array(languages, pa.string()), pa.array(scores, pa.float64())]
+            if letters_name:
+                columns.append(pa.array([x is not None for x in found], pa.bool_()))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(languages, pa.string()), pa.array(scores, pa.float64())],
-                names=[*batch.schema.names, lang_name, score_name],
+                [*batch.columns, *columns], names=[*batch.schema.names, *[f.name for f in added]]
             )
 
     return docs.mapInArrow(run, schema)

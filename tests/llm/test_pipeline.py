@@ -35,6 +35,25 @@ def test_language_stage_keeps_what_has_a_language(spark):
     assert kept.columns == docs.columns and [r["doc_id"] for r in kept.collect()] == [0]
 
 
+def test_language_stage_without_labels(spark):
+    texts = ["the house and the", None, "123 ...", "", "la maison et la"]
+    for langs in ([None] * 5, ["und"] * 5, [None, "en", "en", "en", None]):
+        kept = corpus_pipeline.identify_language(spark, documents(spark, texts, langs), SF)
+        assert sorted(r["doc_id"] for r in kept.collect()) == [0, 4], langs
+
+
+def test_run_without_labels(spark):
+    rng = random.Random(8)
+    docs = documents(spark, [sentence(rng, 40) for _ in range(6)], [None] * 6)
+    stored = corpus_pipeline.read
+    corpus_pipeline.read = lambda s, d, name: docs if name == "documents" else stored(s, d, name)
+    try:
+        got = corpus_pipeline.run(spark, SF).select("doc_id").distinct().collect()
+    finally:
+        corpus_pipeline.read = stored
+    assert sorted(r["doc_id"] for r in got) == list(range(6))
+
+
 def test_line_stage_drops_emptied_documents_only(spark):
     rng = random.Random(3)
     text = "\n".join(sentence(rng) for _ in range(40))
