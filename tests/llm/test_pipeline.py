@@ -42,16 +42,27 @@ def test_language_stage_without_labels(spark):
         assert sorted(r["doc_id"] for r in kept.collect()) == [0, 4], langs
 
 
-def test_run_without_labels(spark):
+def ids_after_run(spark, monkeypatch, docs):
+    stored = corpus_pipeline.read
+    monkeypatch.setattr(corpus_pipeline, "read", lambda s, d, name: docs if name == "documents" else stored(s, d, name))
+    return sorted(r["doc_id"] for r in corpus_pipeline.run(spark, SF).select("doc_id").distinct().collect())
+
+
+def test_run_without_labels(spark, monkeypatch):
     rng = random.Random(8)
     docs = documents(spark, [sentence(rng, 40) for _ in range(6)], [None] * 6)
-    stored = corpus_pipeline.read
-    corpus_pipeline.read = lambda s, d, name: docs if name == "documents" else stored(s, d, name)
-    try:
-        got = corpus_pipeline.run(spark, SF).select("doc_id").distinct().collect()
-    finally:
-        corpus_pipeline.read = stored
-    assert sorted(r["doc_id"] for r in got) == list(range(6))
+    assert ids_after_run(spark, monkeypatch, docs) == list(range(6))
+
+
+def test_run_keeps_one_of_each_group_of_equal_texts(spark, monkeypatch):
+    rng = random.Random(9)
+    groups = [
+        "\n".join(rng.choice(["", " "]) if rng.random() < 0.2 else sentence(rng, 12) for _ in range(2 + n))
+        for n in range(16)
+    ]
+    groups.append(sentence(rng, 40))
+    docs = documents(spark, [g for g in groups for _ in range(3)])
+    assert ids_after_run(spark, monkeypatch, docs) == [3 * n for n in range(len(groups))]
 
 
 def test_line_stage_drops_emptied_documents_only(spark):
