@@ -16,7 +16,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -140,12 +139,15 @@ def _features(core: str, digits: str) -> list[int]:
     return held + [10 + i for i, ok in enumerate(checks) if ok]
 
 
-def graph_of(texts: list[str], bases: list[list[tuple]]) -> Graph:
+def graph_of(texts: list[str], bases: list[list[tuple]], most: int | None = None) -> Graph:
+    """Nodes and edges of the texts, each with its fixed spans; ``most`` bounds the nodes of each."""
     rows, start, end, doc, near, skip, weak = [], [], [], [], [], [], []
     for d, (text, base) in enumerate(zip(texts, bases)):
         seen: dict[str, int] = {}
-        before = -1
+        before, since = -1, len(start)
         for first, last in node_tokens(text):
+            if most is not None and len(start) - since >= most:
+                break
             token = text[first:last]
             core = token.strip(_EDGE)
             digits = _NOT_DIGIT.sub("", core)
@@ -275,21 +277,46 @@ def label(texts: list[str], model: Model, certain: float) -> tuple[list[list], l
     return bases, [added_spans(*x) for x in zip(texts, bases, nodes)]
 
 
+_SENT = {"features": np.uint8, "start": np.int64, "end": np.int64, "near": np.int64, "skip": np.int64, "weak": np.int64}
+
+
+def join_graphs(graphs: list[Graph]) -> Graph:
+    """One graph of several documents, in their order."""
+    if not graphs:
+        return graph_of([], [])
+    at = np.cumsum([0, *[len(g.start) for g in graphs]])
+    every = {name: np.concatenate([getattr(g, name) for g in graphs]) for name in ("features", "start", "end", "weak")}
+    doc = np.repeat(np.arange(len(graphs)), np.diff(at))
+    edges = {name: np.concatenate([getattr(g, name) + n for g, n in zip(graphs, at)]) for name in ("near", "skip")}
+    return Graph(doc=doc, **every, **edges)
+
+
 def sample_graph(docs: DataFrame, fit_docs: int) -> Graph:
-    """Nodes of the ``fit_docs`` documents of the smallest id hash that have any."""
+    """Nodes and edges of the ``fit_docs`` documents of the smallest id hash that have any."""
     marked = docs.where(F.col("text").rlike("[0-9@]"))
     rows = bounded_sample(marked, fit_docs, "doc_id", "text")
 
-    def windows(batches):
-        # The sample carries the nodes' surroundings only: whole texts stay with the executors.
+    def graphs(batches):
+        # Edges come from the whole text; the sample carries nodes and edges, no texts.
         for batch in slices(batches):
-            for text in texts_of(batch, "text"):
-                found = list(islice(node_tokens(text), FIT_TOKENS))
-                near = [text[max(0, s - 40) : e + 40] for s, e in found]
-                yield pa.RecordBatch.from_arrays([pa.array(near, type=pa.string())], names=["piece"])
-
-    pieces = [r[0] for r in rows.select("text").mapInArrow(windows, "piece string").collect()]
-    return graph_of(pieces, [base_spans(p) for p in pieces])
+            found = [graph_of([text], [base_spans(text)], FIT_TOKENS) for text in texts_of(batch, "text")]
+            sent = [
+                pa.array([getattr(g, name).astype(kind).tobytes() for g in found], type=pa.binary())
+                for name, kind in _SENT.items()
+            ]
+            yield pa.RecordBatch.from_arrays(sent, names=list(_SENT))
+
+    schema = ", ".join(f"`{name}` binary" for name in _SENT)
+    shape = {"features": (-1, N_FEATURES), "near": (-1, 2), "skip": (-1, 2)}
+    found = []
+    for row in rows.select("text").mapInArrow(graphs, schema).collect():
+        parts = {
+            name: np.frombuffer(bytes(row[name]), dtype=kind).reshape(shape.get(name, -1))
+            for name, kind in _SENT.items()
+        }
+        parts["features"] = parts["features"].astype(np.float64)
+        found.append(Graph(doc=np.zeros(len(parts["start"]), dtype=np.int64), **parts))
+    return join_graphs(found)
 
 
 def personal_spans(docs: DataFrame, fit_docs: int = 1000, certain: float = 0.95) -> DataFrame:
@@ -299,7 +326,7 @@ def personal_spans(docs: DataFrame, fit_docs: int = 1000, certain: float = 0.95)
     text has none. Repeated rows are labelled each alike; a null ``doc_id`` is carried through;
     other columns of ``docs`` are not read. An empty table, or one without number-like tokens,
     gives zero weights and no added span. ``fit_docs`` bounds the documents the field is fitted
-    on, at most 64 tokens of each; every text is labelled as a whole. A node is added only with a
+    on, at most 64 nodes of each with the edges between them; every text is labelled as a whole. A node is added only with a
     marginal of at least ``certain``.
     """
     spark = docs.sparkSession

@@ -102,3 +102,33 @@ def test_query_rows(spark):
 def test_hard_rows(spark):
     assert pii.digest(pii.personal_spans(hard(spark))).count() == 11
     assert pii.digest(pii.personal_spans(hard(spark).limit(0))).count() == 0
+
+
+def test_distant_weak_repeat_is_added(spark):
+    """Numbers without a plus sign are orders as a rule; one far from its strong form is added."""
+    rng = random.Random(6)
+    number = lambda: f"1-{rng.randint(200, 999)}-555-{rng.randint(1000, 9999)}"
+    far = lambda *parts: f" {sentence(rng, 20)} ".join(parts)
+    texts = []
+    for _ in range(200):
+        n, order = number(), [f"order {number()}"] if rng.random() < 0.2 else []
+        texts.append(far(f"+{n}", f"in {rng.randint(1900, 2030)}", *order, f"+{n}", f"+{n}"))
+    weak, alone = number(), number()
+    texts += [far(f"+{weak}", weak, f"+{weak}"), far(alone, "none")]
+    docs = documents(spark, texts)
+    added = {r["doc_id"]: [tuple(s) for s in r["added"]] for r in pii.personal_spans(docs).collect()}
+    at = texts[200].index(f" {weak}") + 1
+    assert added.pop(200) == [(at, 3, "phone", at + len(weak))]
+    assert not any(added.values())
+    graph, whole = pii.sample_graph(docs, 1000), pii.graph_of(texts, [pii.base_spans(t) for t in texts])
+    assert (len(graph.start), len(graph.near), len(graph.skip)) == (len(whole.start), len(whole.near), len(whole.skip))
+    # Each sampled document keeps its edges, whatever the order in which it was drawn.
+    same_doc = graph.doc[graph.skip]
+    assert (same_doc[:, 0] == same_doc[:, 1]).all()
+
+
+def test_nodes_of_a_document_are_bounded(spark):
+    text = " ".join(f"{i % 70}x{i % 70}" for i in range(200))
+    graph = pii.sample_graph(documents(spark, [text, "none", "a 7 b 7"]), 10)
+    assert sorted(np.bincount(graph.doc).tolist()) == [2, pii.FIT_TOKENS]
+    assert len(graph.near) == pii.FIT_TOKENS - 1 and len(graph.skip) == 1
