@@ -11,6 +11,7 @@ from skylattice.schemas import TABLES
 from skylattice.sources.events import read_flight_stream
 from skylattice.sources.storage import ResultTables
 from skylattice.streaming import pipeline
+from workload import queries
 
 NEAR = [(50.4, 10.4, "DE-BY", "heliport"), (50.6, 10.6, "DE-BY", "heliport")]
 
@@ -180,3 +181,12 @@ def test_bad_numbers_do_not_stop_the_stream(spark, tmp_path, surge_log):
     tables = drain(spark, files, base, surge_log)
     assert set(counts(spark, tables)) == {(0, "DE-BY"), (1, "DE-BY")}
     assert tables.read(spark, "flight_events").where("velocity = double('Infinity')").count() == 0
+
+
+def test_multi_batch_queries_learn_as_the_job_does(spark, small_sf):
+    """Every stored batch with rows enough has its anomalies, the replayed ones once."""
+    stored, numbers = queries._run_batches(spark, small_sf)
+    logs = stored.read(spark, "anomaly_logs")
+    found, filled = (set(column(df, "batch_id")) for df in (logs, stored.read(spark, "region_metrics")))
+    assert found == filled and len(found) >= 3 and numbers[1] not in found
+    assert logs.count() == logs.dropDuplicates(["batch_id", "icao24"]).count()

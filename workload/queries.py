@@ -551,7 +551,6 @@ def _run_batches(spark, sf) -> tuple[ResultTables, list[int]]:
             airports=airports,
             tables=stored,
             batch_time=BATCH_TIME,
-            learn=False,
         )
     return stored, [n for n, _ in steps]
 
