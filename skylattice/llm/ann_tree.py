@@ -5,7 +5,7 @@ a leaf. Vectors are extended by one component so that all have the same length;
 is then largest by inner product. A query walks the tree with a priority queue over open branches,
 closest centre first, and so lists leaves in the order in which they promise neighbours. How many
 leaves a search visits is widened until calibration queries, whose true neighbours are known from
-a scan of all rows, reach the wanted recall.
+a scan of all rows, reach the wanted recall. A query whose leaves hold too few rows walks on.
 
 Visits are a join of queries and rows on the leaf. Its rows are split into cells and the queries that
 visit it into slices of bounded size, so a hot leaf (one vector many times over) is many tasks' work.
@@ -46,14 +46,15 @@ class Tree:
     def leaves(self) -> int:
         return len(self.leaf_of)
 
-    def order(self, query: np.ndarray, most: int) -> list[int]:
-        """The first ``most`` leaves, best bin first."""
+    def order(self, query: np.ndarray, most: int, stock: np.ndarray | None = None, enough: int = 0) -> list[int]:
+        """The first ``most`` leaves, best bin first, and more until their ``stock`` of rows is ``enough``."""
         near = -(self.centres @ query) * 2 + (self.centres**2).sum(axis=1)
-        queue, out = [(0.0, 0)], []
-        while queue and len(out) < most:
+        queue, out, held = [(0.0, 0)], [], 0
+        while queue and (len(out) < most or held < enough):
             _, node = heapq.heappop(queue)
             if node in self.leaf_of:
                 out.append(self.leaf_of[node])
+                held += stock[out[-1]] if stock is not None else enough
             for child in self.children[node]:
                 heapq.heappush(queue, (float(near[child]), child))
         return out
@@ -222,20 +223,27 @@ def search(
     wanted = placed.where(query_filter)
     visits = calibrate(placed, wanted, tree, top, recall)
 
-    def bins(x: pd.Series) -> pd.Series:
+    rows_of = materialize(placed.groupBy("leaf").agg(F.count("*").alias("rows")))
+    stock = np.zeros(tree.leaves, dtype=np.int64)
+    for r in rows_of.collect():  # one row per leaf
+        stock[r["leaf"]] = r["rows"]
+
+    def bins(x: pd.Series, same: pd.Series) -> pd.Series:
         own, _ = shared.value
         flat = lambda q: np.append(np.asarray(q, dtype=np.float64), 0.0)
-        return pd.Series([own.order(flat(q), visits) for q in x])
+        return pd.Series([own.order(flat(q), visits, stock, top + n) for q, n in zip(x, same)])
 
+    # Rows of the query's own id are no neighbours, so the leaves have to hold as many more.
+    repeats = placed.groupBy("vec_id").agg(F.count("*").alias("same")).where("same > 1")
+    counted = wanted.join(repeats, "vec_id", "left").withColumn("same", F.coalesce("same", F.lit(1)))
     asks = materialize(
-        wanted.select(
+        counted.select(
             F.col("vec_id").alias("query_id"),
             F.col("x").alias("q"),
-            F.pandas_udf(bins, "array<bigint>")("x").alias("bins"),
+            F.pandas_udf(bins, "array<bigint>")("x", "same").alias("bins"),
         )
     )
     parts = lambda n: F.ceil(F.col(n) / CELL_ROWS).cast("int")
-    rows_of = placed.groupBy("leaf").agg(F.count("*").alias("rows"))
     asks_of = asks.select(F.explode("bins").alias("leaf")).groupBy("leaf").agg(F.count("*").alias("asks"))
     # One row per leaf: at most the sample's size.
     split = F.broadcast(
@@ -248,7 +256,7 @@ def search(
         .withColumn("slice", F.pmod(F.xxhash64("query_id"), F.col("slices")).cast("int"))
         .select("query_id", "q", F.col("leaf").alias("bin"), "slice", every("cells").alias("cell"))
     )
-    stock = (
+    shelves = (
         placed.join(split, "leaf")
         .withColumn("cell", F.pmod(F.xxhash64("vec_id"), F.col("cells")).cast("int"))
         .select("leaf", "cell", "vec_id", "x", every("slices").alias("slice"))
@@ -265,7 +273,7 @@ def search(
 
     found = (
         asks.groupBy("bin", "cell", "slice")
-        .cogroup(stock.groupBy("leaf", "cell", "slice"))
+        .cogroup(shelves.groupBy("leaf", "cell", "slice"))
         .applyInArrow(meet, _FOUND)
     )
     return _top(found, top).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -72,3 +72,17 @@ def test_every_leaf_is_reached_once():
     tree = ann_tree.build(x, branch=3, leaf_rows=20)
     assert sorted(tree.order(x[0], tree.leaves)) == list(range(tree.leaves))
     assert set(tree.route(x)) <= set(range(tree.leaves))
+
+
+def test_every_query_gets_all_its_rows(spark):
+    """Tight clusters satisfy the calibration with few leaves; a small one apart needs more."""
+    rng = np.random.default_rng(11)
+    centres = 20 * np.eye(16)
+    rows = [(20 * i + (j > 0) * j, centres[i % 12]) for i in range(60) for j in range(19)]
+    rows += [(100_000 + j, centres[15]) for j in range(8)]
+    rows.append((100_000, centres[15]))  # a row of the query's own id counts for no neighbour
+    data = [(n, (c + rng.normal(size=16) * 0.01).tolist()) for n, c in rows]
+    found = ann_tree.search(spark.createDataFrame(data, "vec_id bigint, embedding array<double>"))
+    got = {r["query_id"]: r["n"] for r in found.groupBy("query_id").agg(F.count("*").alias("n")).collect()}
+    assert set(got) == {n for n, _ in data if n % 20 == 0}
+    assert set(got.values()) == {ann_tree.TOP}
