@@ -96,8 +96,47 @@ SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(kept.text, '') END A
 FROM documents d LEFT JOIN kept ON kept.doc_id = d.doc_id
 """
 
+def _centroid_rounds(rounds: int) -> str:
+    """Rounds of assignment to the nearest centroid, and of moving centroids to floors of means."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (
+  SELECT row, vec_id, x, k, d FROM (
+    SELECT row, vec_id, x, k, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+    FROM kept CROSS JOIN c{i})
+  QUALIFY row_number() OVER (PARTITION BY row ORDER BY d, k) = 1
+)""")
+        if i < rounds:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM (
+    SELECT k, i, sum(v)::HUGEINT AS s, count(*) AS n
+    FROM (SELECT k, unnest(x) AS v, unnest(range(64)) AS i FROM a{i}) GROUP BY k, i) GROUP BY k
+  UNION ALL
+  SELECT k, c FROM c{i} WHERE k NOT IN (SELECT k FROM a{i})
+)""")
+    return ",\n".join(steps)
+
+
+OP13 = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id,
+         list_transform(embedding, lambda e: CAST(floor(1024 * CAST(e AS DOUBLE)) AS HUGEINT)) AS x
+  FROM embeddings
+  WHERE len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64 AND len(embedding) = 64
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), x) - 1 AS k, x AS c FROM kept
+  QUALIFY k < 8
+),
+{_centroid_rounds(10)}
+SELECT vec_id, k::INTEGER AS cluster, d::BIGINT AS distance,
+       sum(d) OVER (PARTITION BY k)::BIGINT AS cluster_inertia, sum(d) OVER ()::BIGINT AS inertia,
+       sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a10 JOIN c10 USING (k)
+"""
+
 ORACLES: dict[str, str] = {
     "op4_near_duplicates": OP4,
     "op5_line_chunks": OP5,
     "op9_warc": OP9,
+    "op13_centroids": OP13,
 }

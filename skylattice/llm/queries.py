@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_tree, language, line_chunks, near_dup, packing, pii, secret_scan, sharding, tiling, warc_zst
+from . import (
+    ann_tree,
+    centroids,
+    language,
+    line_chunks,
+    mixing,
+    near_dup,
+    packing,
+    pii,
+    secret_scan,
+    sharding,
+    tiling,
+    warc_zst,
+    whitening,
+)
 from .rows import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +86,22 @@ def op10_language(spark, sf):
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op11_whitening(spark, sf):
+    """Whitened first four components of every vector."""
+    return whitening.digest(*whitening.whiten(read(spark, sf, "embeddings")))
+
+
+def op12_source_mixing(spark, sf):
+    """Words the mix takes of every document."""
+    return mixing.digest(mixing.mix(read(spark, sf, "documents"), keep=["doc_id"]))
+
+
+def op13_centroids(spark, sf):
+    """The cluster of every vector after ten rounds."""
+    assigned, found, _ = centroids.cluster(read(spark, sf, "embeddings"))
+    return centroids.digest(assigned, found)
+
+
 OPERATORS: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -85,5 +115,8 @@ OPERATORS: dict[str, Query] = {
         op8_personal_data,
         op9_warc,
         op10_language,
+        op11_whitening,
+        op12_source_mixing,
+        op13_centroids,
     )
 }

@@ -1,0 +1,114 @@
+import math
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from skylattice.llm import whitening
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int"
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(i, None if v is None else [None if x is None else float(x) for x in v], 0) for i, v in rows], SCHEMA)
+
+
+def table(spark, df):
+    return whitening.digest(*whitening.whiten(df)).collect()
+
+
+def compare(got, x, ids, rtol=1e-9):
+    """Against the eigenvectors of the covariance, in numpy over the distinct rows."""
+    x = np.array(x, dtype=np.int64)
+    fit = np.unique(x, axis=0)
+    n = len(fit)
+    sums = fit.sum(axis=0)
+    away = fit - sums / n
+    e, v = np.linalg.eigh(away.T @ away / n)
+    e, v = e[::-1], v[:, ::-1]
+    by = {}
+    for r in got:
+        by.setdefault(r["component"], []).append(r)
+    assert sorted(by) == list(range(1, min(4, x.shape[1]) + 1))
+    dev = {}
+    for i, row in zip(ids, x):
+        dev.setdefault(i, []).append(sum((n * int(a) - int(s)) ** 2 for a, s in zip(row, sums)))
+    for k, rows in by.items():
+        assert len(rows) == len(x) and {r["n"] for r in rows} == {n}
+        for i in dev:
+            assert sorted(r["deviation"] for r in rows if r["vec_id"] == i) == sorted(dev[i])
+        assert abs(rows[0]["explained"] - e[k - 1] / e.sum()) <= rtol
+        if e[k - 1] < 1e-9 * e[0]:
+            assert all(r["whitened"] is None for r in rows)
+            continue
+        want = sorted((i, z) for i, z in zip(ids, (x - sums / n) @ v[:, k - 1] / math.sqrt(e[k - 1])))
+        found = sorted((r["vec_id"], r["whitened"]) for r in rows)
+        a, b = np.array([z for _, z in want]), np.array([z for _, z in found])
+        assert [i for i, _ in want] == [i for i, _ in found]
+        assert min(np.abs(a - b).max(), np.abs(np.sort(a) - np.sort(-b)).max(), np.abs(a + b).max()) < 1e-7
+    assert all(r["identity_error"] <= 1e-9 for r in got)
+
+
+def integers(rows):
+    return [[math.floor(256 * float(np.float32(c))) for c in v] for _, v in rows]
+
+
+def test_equal_to_eigenvectors_with_copies(spark):
+    rng = np.random.default_rng(1)
+    scale = np.linspace(3, 0.2, 12)
+    rows = [(i, rng.normal(size=12) * scale + 1) for i in range(300)]
+    rows += [(1000 + i, rows[0][1]) for i in range(400)]  # a hot vector counts once
+    compare(table(spark, vectors(spark, rows)), integers(rows), [i for i, _ in rows])
+
+
+def test_far_from_the_origin(spark):
+    """Means a million times the spread: the exact centring keeps every digit."""
+    rng = np.random.default_rng(2)
+    x = rng.integers(-20, 21, (200, 6)) * np.array([16, 8, 4, 2, 1, 1]) + 2**22
+    rows = list(enumerate(x / 256))
+    compare(table(spark, spark.createDataFrame([(i, [float(c) for c in v], 0) for i, v in rows], "vec_id bigint, embedding array<double>, label int")), x, [i for i, _ in rows])
+
+
+def test_fewer_rows_than_dimensions_and_flat_dimensions(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, np.concatenate([rng.normal(size=6), np.ones(30)])) for i in range(5)]
+    compare(table(spark, vectors(spark, rows)), integers(rows), [i for i, _ in rows])
+    two = [(0, [1.0, 2.0, 3.0, 4.0, 5.0]), (1, [2.0, 2.0, 3.0, 4.0, 7.0])]
+    compare(table(spark, vectors(spark, two)), integers(two), [0, 1])
+
+
+def test_one_distinct_vector_varies_nowhere(spark):
+    got = table(spark, vectors(spark, [(i, [1.0, -0.5]) for i in range(3)]))
+    assert {(r["component"], r["n"], r["deviation"], r["whitened"], r["explained"], r["identity_error"]) for r in got} == {
+        (k, 1, 0, None, None, None) for k in (1, 2)
+    }
+    assert len(got) == 6
+
+
+def test_odd_rows_and_none(spark):
+    rng = np.random.default_rng(5)
+    good = [(i, rng.normal(size=3)) for i in range(40)] + [(None, rng.normal(size=3))]
+    odd = [(50, None), (51, [1, None, 2]), (52, [math.nan, 1, 2]), (53, [math.inf, 1, 2]), (54, []), (55, [1.0, 2.0])]
+    clash = {n: F.lit("mine") for n in ("x", "slot", "part", "n", "deviation", "whitened", "component", "at")}
+    got = table(spark, vectors(spark, good + odd).withColumns(clash))
+    assert {r["vec_id"] for r in got} == {i for i, _ in good} and len(got) == 3 * 41
+    assert table(spark, vectors(spark, odd[:4])) == []
+    assert table(spark, vectors(spark, good).limit(0)) == []
+
+
+def test_deviations_beyond_a_long(spark):
+    rows = [(0, [3e13, 0.0]), (1, [-3e13, 1.0]), (2, [0.0, 2.0])]
+    got = table(spark, vectors(spark, rows))
+    assert {r["deviation"] for r in got if r["vec_id"] < 2} == {None}
+    x = integers(rows)
+    n, s = 3, [sum(c) for c in zip(*x)]
+    assert {r["deviation"] for r in got if r["vec_id"] == 2} <= {sum((n * a - b) ** 2 for a, b in zip(x[2], s)), None}
+
+
+def test_fitted_basis_whitens_the_fit_list(spark):
+    rng = np.random.default_rng(9)
+    mixing = rng.normal(size=(10, 10)) ** 3
+    rows = [(i, rng.normal(size=10) @ mixing) for i in range(500)]
+    whitened, fitted = whitening.whiten(vectors(spark, rows), components=10)
+    z = np.array([r["whitened"] for r in whitened.collect()])
+    assert np.abs(z.T @ z / len(z) - np.eye(10)).max() < 1e-8
+    assert abs(sum(fitted["explained"]) - 1) < 1e-12 and fitted["identity_error"] < 1e-8
