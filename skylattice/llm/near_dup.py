@@ -315,16 +315,11 @@ def near_duplicates(
     sets = materialize(shingle_sets(texts, nodes.select("node", "code").join(involved, "node"), k))
     nearest = met.groupBy("v").agg(F.min("u").alias("u")).select("u", "v")
     comps = components(confirmed(nearest, sets, percent))
-    # From here on the graph is that of components; most are whole already.
+    # Nodes that meet over any chain; most such groups are one component already.
+    groups = components(met).select(F.col("node").alias("of"), F.col("label").alias("group"))
     lead = lambda node: F.coalesce("label", node)
-    left = met.join(comps, met.u == comps.node, "left").select(lead("u").alias("u"), "v")
-    open_pairs = left.join(comps, left.v == comps.node, "left").select("u", lead("v").alias("v"))
-    groups = components(open_pairs.where("u <> v").distinct())
-    members = involved.join(comps.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select(
-        "node", lead("node").alias("comp")
-    )
-    grouped = members.join(
-        groups.select(F.col("node").alias("comp"), F.col("label").alias("group")), "comp"
+    grouped = groups.join(comps, groups.of == comps.node, "left").select(
+        F.col("of").alias("node"), "group", lead("of").alias("comp")
     )
     joined = components(complete(materialize(grouped.select("node", "group", "comp")), sets, percent))
     of_node = nodes.select("code", "node").join(

@@ -2,9 +2,11 @@ import random
 
 import numpy as np
 import pytest
-from llm_cases import brute_components, documents, sentence
+from llm_cases import SCHEMA, brute_components, documents, hard, sentence
 
-from skylattice.llm import near_dup
+from pyspark.sql import functions as F
+
+from skylattice.llm import graph, near_dup
 from skylattice.llm.graph import components
 
 
@@ -67,3 +69,63 @@ def test_components_of_a_long_chain(spark):
     chain = spark.createDataFrame([(i + 1, i) for i in range(300)] + [(900, 901)], "u bigint, v bigint")
     got = {r["node"]: r["label"] for r in components(chain).collect()}
     assert got == {i: 0 for i in range(301)} | {900: 900, 901: 900}
+
+
+@pytest.mark.parametrize("per_task", [3, 20, 100_000])
+def test_components_at_every_size(spark, per_task):
+    """In one task, in several, and in rounds: the same labels."""
+    rng = random.Random(per_task)
+    links = [(rng.randrange(400), rng.randrange(400)) for _ in range(250)] + [(i, i + 1) for i in range(500, 560)]
+    links += [(None, 3), (3, None), (7, 7)]
+    got = {r["node"]: r["label"] for r in components(spark.createDataFrame(links, "u bigint, v bigint"), per_task).collect()}
+    parent = {i: i for i in range(600)}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for u, v in links:
+        if u is not None and v is not None and u != v:
+            a, b = sorted((root(u), root(v)))
+            parent[b] = a
+    linked = {x for u, v in links if None not in (u, v) and u != v for x in (u, v)}
+    assert got == {i: root(i) for i in linked}
+    assert components(spark.createDataFrame([], "u bigint, v bigint"), per_task).count() == 0
+
+
+def test_dense_links_become_about_one_a_node(spark):
+    """Every node with many hubs, as in a large group of near copies: tasks send on stars only."""
+    links = spark.range(3000).select(F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hub"), F.col("id").alias("v"))
+    links = links.select(F.pmod(F.xxhash64("v", "hub"), F.lit(60)).alias("u"), (F.col("v") + 100).alias("v"))
+    cut = graph._starred(links.repartition(50, "v"), 100_000)
+    assert links.count() == 72_000
+    assert cut.count() <= 3000 + 50 * 60
+    again = graph._starred(cut.coalesce(1), 100_000)
+    assert again.count() == 3060 - 1
+    assert components(links).where("label <> 0").count() == 0
+
+
+def test_stars_keep_components():
+    rng = np.random.default_rng(1)
+    for n in (2, 10, 300):
+        u, v = rng.integers(0, n, 2 * n), rng.integers(0, n, 2 * n)
+        low, node = graph.stars(u, v)
+        label = dict(zip(node.tolist(), low.tolist()))
+        lead = lambda x: label.get(x, x)
+        assert len(label) == len(node) and all(lead(a) == lead(b) for a, b in zip(u.tolist(), v.tolist()))
+        assert all(x < y for y, x in label.items())
+
+
+def test_hard_and_empty_tables(spark):
+    docs = hard(spark)
+    got = near_dup.near_duplicates(docs, k=5).collect()
+    assert len(got) == docs.count()
+    by = {}
+    for r in got:
+        by.setdefault(r["doc_id"], []).append((r["n_shingles"] > 0, r["component_id"], r["kept"]))
+    assert by[None] == [(True, None, True), (False, None, True)] or by[None] == [(False, None, True), (True, None, True)]
+    assert by[5] == [(True, 5, True)] and by[6] == [(True, 5, False)] * 2
+    assert [by[i] for i in (1, 2, 3)] == [[(False, i, True)] for i in (1, 2, 3)]
+    assert all(by[i] == [(True, i, True)] for i in (4, 7, 8))
+    assert near_dup.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
