@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import flight
@@ -10,6 +10,7 @@ from ..functions.numeric import round_scaled
 from ..operators.flights import project_available
 from ..operators.pick import latest, recent, top
 from ..operators.quantiles import exact_quantiles
+from ..sources.maintained import MaintainedTables
 
 # Default scan limits, columns and lengths of the lists shown.
 SCAN_LIMITS = {
@@ -51,6 +52,14 @@ def scan(df: DataFrame, table: str, limit: int | None = None) -> DataFrame:
     return recent(df, newest, SCAN_LIMITS[table] if limit is None else limit)
 
 
+def scan_stored(
+    spark: SparkSession, tables: MaintainedTables, table: str, limit: int | None = None
+) -> DataFrame:
+    """``scan`` of a maintained table: batches and days without rows so new are not opened."""
+    order = [F.col("timestamp").desc(), F.col(SCAN_KEYS[table]).asc(), F.col("batch_id").desc()]
+    return tables.newest(spark, table, order, SCAN_LIMITS[table] if limit is None else limit)
+
+
 def kpis(flight_events: DataFrame, region_metrics: DataFrame, anomaly_logs: DataFrame) -> DataFrame:
     """One row of headline numbers, one aggregation per table."""
     mean = F.avg("altitude")

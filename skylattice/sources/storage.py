@@ -138,6 +138,11 @@ class ResultTables:
             raise KeyError(f"unknown result table {name!r}")
         return f"{self.base}/{name}"
 
+    @contextmanager
+    def batch(self, spark: SparkSession, batch_id: int):
+        """Writes the tables of a batch, each as soon as it is given."""
+        yield _Batch(self, batch_id)
+
     def write(self, name: str, df: DataFrame, batch_id: int) -> None:
         columns = TABLES[name].names
         df.select(*columns).write.mode("overwrite").parquet(
@@ -209,3 +214,11 @@ class ResultTables:
             if entry.startswith(prefix)
         ]
         return max((b for b in stored if b < batch_id), default=None)
+
+
+class _Batch:
+    def __init__(self, tables: ResultTables, batch_id: int):
+        self.tables, self.batch_id = tables, batch_id
+
+    def write(self, name: str, df: DataFrame) -> None:
+        self.tables.write(name, df, self.batch_id)

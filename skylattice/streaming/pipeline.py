@@ -13,7 +13,7 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -71,10 +71,11 @@ def process_batch(
     batch_time: datetime | None = None,
     report: Report | None = None,
 ) -> None:
-    """Analyse one batch of prepared flights and write its partition of every table.
+    """Analyse one batch of prepared flights and write its rows of every table.
 
-    ``report`` receives the summaries that are shown but not stored; they are built only
-    when it is given and are valid until it returns.
+    A batch without flights has no results; the count comes from the first write itself. ``report``
+    receives the summaries that are shown but not stored; they are built only when it is given and
+    are valid until it returns.
     """
     spark = batch_df.sparkSession
     now = batch_time or datetime.now(timezone.utc)
@@ -82,47 +83,12 @@ def process_batch(
     cached = [flights]
     forests: list[Broadcast] = []
     try:
-        if flights.isEmpty():
-            return
-        rows = at_airports(flights, airports, small=small_airports)
-        totals = traffic.traffic_totals(rows, ["region", "country"]).persist()
-        newest = aircraft(flights, airports, small=small_airports).persist()
-        cached += [totals, newest]
-
-        by_region = traffic.roll_up(totals, ["region"])
-        by_country = traffic.roll_up(totals, ["country"])
-        metrics = traffic.region_metrics_of(by_region)
-
-        tables.write("flight_events", event_rows(flights), batch_id)
-        tables.write("country_metrics", stamp(traffic.country_metrics_of(by_country), now), batch_id)
-        tables.write("alerts", stamp(alerts.alert_table(metrics), now), batch_id)
-
-        outliers = None
-        aircraft_count = newest.count()
-        if aircraft_count > learning.MIN_ROWS:
-            scored = isolation_scores(newest, rows=aircraft_count, held=forests).persist()
-            cached.append(scored)
-            outliers = flag_outliers(scored)
-            tables.write("anomaly_logs", stamp(outliers, now), batch_id)
-
-        if report is not None:
-            parts = _summaries(totals, by_region, metrics)
-            alert_parts = [alerts.congestion_alerts(metrics)]
-            if outliers is not None:
-                clustered = cluster(newest)
-                parts["cluster_sizes"] = cluster_sizes(clustered)
-                parts["top_forecasts"] = top_forecasts(forecast(newest))
-                parts["anomalies"] = outliers
-                alert_parts.append(alerts.anomaly_alerts(outliers))
-            before = previous_counts(spark, tables, batch_id)
-            if before is not None:
-                surges = alerts.surge_rows(metrics, before)
-                alert_parts.append(alerts.surge_alerts(surges))
-            parts["alerts"] = alerts.all_alerts(*alert_parts)
-            report(batch_id, parts)
-
-        # Last, because it is the state that the next batch compares against.
-        tables.write("region_metrics", stamp(metrics, now), batch_id)
+        seen = Observation()
+        counted = flights.observe(seen, F.count(F.lit(1)).alias("flights"))
+        with tables.batch(spark, batch_id) as out:
+            out.write("flight_events", event_rows(counted))
+            if seen.get["flights"]:
+                _analyse(flights, batch_id, out, cached, forests, airports, tables, small_airports, now, report)
     finally:
         for df in cached:
             df.unpersist()
@@ -130,6 +96,60 @@ def process_batch(
             forest.unpersist()
 
 
+def _analyse(
+    flights: DataFrame,
+    batch_id: int,
+    out,
+    cached: list[DataFrame],
+    forests: list[Broadcast],
+    airports: DataFrame,
+    tables: ResultTables,
+    small: bool | None,
+    now: datetime,
+    report: Report | None,
+) -> None:
+    """The tables that need airports; ``cached`` and ``forests`` are released by the caller."""
+    spark = flights.sparkSession
+    rows = at_airports(flights, airports, small=small)
+    totals = traffic.traffic_totals(rows, ["region", "country"]).persist()
+    newest = aircraft(flights, airports, small=small).persist()
+    cached += [totals, newest]
+
+    by_region = traffic.roll_up(totals, ["region"])
+    by_country = traffic.roll_up(totals, ["country"])
+    metrics = traffic.region_metrics_of(by_region)
+
+    out.write("country_metrics", stamp(traffic.country_metrics_of(by_country), now))
+    out.write("alerts", stamp(alerts.alert_table(metrics), now))
+
+    outliers = None
+    aircraft_count = newest.count()
+    if aircraft_count > learning.MIN_ROWS:
+        scored = isolation_scores(newest, rows=aircraft_count, held=forests).persist()
+        cached.append(scored)
+        outliers = flag_outliers(scored)
+        out.write("anomaly_logs", stamp(outliers, now))
+
+    if report is not None:
+        parts = _summaries(totals, by_region, metrics)
+        alert_parts = [alerts.congestion_alerts(metrics)]
+        if outliers is not None:
+            clustered = cluster(newest)
+            parts["cluster_sizes"] = cluster_sizes(clustered)
+            parts["top_forecasts"] = top_forecasts(forecast(newest))
+            parts["anomalies"] = outliers
+            alert_parts.append(alerts.anomaly_alerts(outliers))
+        before = previous_counts(spark, tables, batch_id)
+        if before is not None:
+            surges = alerts.surge_rows(metrics, before)
+            alert_parts.append(alerts.surge_alerts(surges))
+        parts["alerts"] = alerts.all_alerts(*alert_parts)
+        report(batch_id, parts)
+
+    # Last, because it is the state that the next batch compares against.
+    out.write("region_metrics", stamp(metrics, now))
+
+
 def _summaries(totals: DataFrame, by_region: DataFrame, metrics: DataFrame) -> dict[str, DataFrame]:
     counts = traffic.region_counts_of(by_region)
     balanced = balance.load_balance(metrics)
@@ -151,9 +171,13 @@ def start(
     checkpoint: str,
     trigger: dict | None = None,
     report: Report | None = None,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
     """Run the pipeline on a stream of parsed events.
 
+    ``compact_every`` merges older batches into the base of ``MaintainedTables`` whenever that many
+    batches are outside of it.
+
     ``checkpoint`` is required: without it a restart would neither know what was
     processed nor continue the batch numbers that the tables are keyed by.
     """
@@ -168,7 +192,10 @@ def start(
             small_airports=small,
             report=report,
         )
+        if compact_every and len(tables.batches(spark, "flight_events")) >= compact_every:
+            tables.compact(spark)
 
+    spark = events.sparkSession
     writer = prepare(events).writeStream.outputMode("append").foreachBatch(run)
     writer = writer.option("checkpointLocation", checkpoint)
     if trigger:

@@ -166,7 +166,7 @@ surge_messages AS (
   FROM surges
 ),
 batched AS (
-  SELECT *, (batch_id // 10) * 10 AS batch FROM enriched
+  SELECT *, (batch_id // 6) * 10 AS batch FROM enriched
 ),
 batch_counts AS (
   SELECT batch, region, count(*) AS aircraft_count, avg(effective_capacity) AS capacity
@@ -180,10 +180,22 @@ batch_order AS (
   SELECT batch, lag(batch) OVER (ORDER BY batch) AS before
   FROM (SELECT DISTINCT batch FROM batch_counts)
 ),
+batch_countries AS (
+  SELECT batch, country, count(*) AS total_flights, avg(altitude) AS avg_altitude
+  FROM (SELECT batch, country, altitude FROM batched
+        UNION ALL
+        SELECT (SELECT max(batch) FROM batched) + 20, country, altitude FROM batched
+        WHERE batch = (SELECT min(batch) FROM batched))
+  WHERE country IS NOT NULL GROUP BY batch, country
+),
+newest_countries AS (
+  SELECT * FROM batch_countries
+  QUALIFY row_number() OVER (PARTITION BY country ORDER BY batch DESC) = 1
+),
 rewritten AS (
-  SELECT s.* REPLACE (CASE WHEN (batch_id // 10) * 10 = (SELECT min(batch) FROM batched)
+  SELECT s.* REPLACE (CASE WHEN (batch_id // 6) * 10 = (SELECT min(batch) FROM batched)
                            THEN (SELECT max(batch) FROM batched) + 20
-                           ELSE (batch_id // 10) * 10 END AS batch_id)
+                           ELSE (batch_id // 6) * 10 END AS batch_id)
   FROM stored_events s
 ),
 mean_aci AS (SELECT avg(aci) AS mean_aci FROM region_now),
@@ -443,6 +455,20 @@ _QUERIES = {
         JOIN batch_counts p ON p.batch = o.before AND p.region = c.region
         WHERE (c.aircraft_count - p.aircraft_count) / p.aircraft_count * 100 > 50""",
     "batches_current_events": f"SELECT batch_id, {_STORED} FROM rewritten",
+    "batches_compacted_events": f"SELECT batch_id, {_STORED} FROM rewritten",
+    "batches_newest_events": f"""
+        SELECT {_STORED} FROM rewritten ORDER BY timestamp DESC, icao24 LIMIT 500""",
+    "batches_top_regions": """
+        SELECT region, aircraft_count, round(aircraft_count / capacity, 6) AS aci
+        FROM (SELECT * FROM batch_counts
+              QUALIFY row_number() OVER (PARTITION BY region ORDER BY batch DESC) = 1)
+        ORDER BY aircraft_count DESC, region LIMIT 25""",
+    "batches_top_countries": """
+        SELECT country, total_flights FROM newest_countries
+        ORDER BY total_flights DESC, country LIMIT 20""",
+    "batches_top_altitudes": """
+        SELECT country, round(t.avg_altitude, 6) AS avg_altitude FROM newest_countries t
+        ORDER BY t.avg_altitude DESC, country LIMIT 15""",
     "batches_kpis": """
         SELECT count(*) AS total_flights, count(DISTINCT country) AS total_countries,
                round_even(avg(altitude), 0) AS avg_altitude,
