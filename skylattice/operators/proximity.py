@@ -82,16 +82,18 @@ def airport_join(
     *,
     radius: float = 1.0,
     small: bool | None = None,
+    cells: DataFrame | None = None,
 ) -> DataFrame:
     """Every flight with every airport less than ``radius`` degrees away on both axes.
 
     A flight near n airports gives n rows, one near none gives one row with nulls.
     Distances do not wrap at the date line. ``small`` tells the outcome of
-    ``fits_broadcast`` where the caller has measured the airports already.
+    ``fits_broadcast`` where the caller has measured the airports already, ``cells`` gives their
+    ``airport_cells`` where they are stored.
     """
     if small is None:
         small = fits_broadcast(airports)
-    right = airport_cells(airports, radius=radius)
+    right = airport_cells(airports, radius=radius) if cells is None else cells
     right = F.broadcast(right) if small else right.hint("merge")
     lat, lon = _cells(F.col("latitude"), F.col("longitude"), radius)
     left = flights.withColumns({"_lat": lat, "_lon": lon})

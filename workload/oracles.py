@@ -480,5 +480,14 @@ _QUERIES = {
 }
 
 
+# The streamed forms have the rows of the batch forms.
+for _streamed, _batch in {
+    "stream_bucket_counts": "bucket_counts",
+    "stream_proximity_join": "proximity_join",
+    "stream_state_vectors": "state_vectors",
+}.items():
+    _QUERIES[_streamed] = _QUERIES[_batch]
+
+
 def oracles() -> dict[str, str]:
     return {name: _TABLES + text for name, text in _QUERIES.items()}

@@ -24,14 +24,16 @@ from skylattice.operators.anomalies import anomalies as find_anomalies
 from skylattice.operators.anomalies import flag_outliers, stored_scores
 from skylattice.operators.proximity import airport_join
 from skylattice.plans import monitor
-from skylattice.plans.enrich import prepare
+from skylattice.plans.enrich import at_airports, prepare
 from skylattice.schemas import FLIGHT_EVENT
 from skylattice.sources.airports import read_airports
 from skylattice.sources.events import parse_events, to_json_value
-from skylattice.sources.states import decode_states
 from skylattice.sources.maintained import MaintainedTables
+from skylattice.sources.polls import poll_events, read_polls
+from skylattice.sources.states import decode_states
 from skylattice.sources.storage import ResultTables, delete_at_exit, materialize, shared_dir
-from skylattice.streaming import pipeline
+from skylattice.streaming import pipeline, windows
+from skylattice.streaming.proximity import ProximityStream
 
 from . import tables
 
@@ -493,17 +495,10 @@ def anomaly_list(spark, sf):
 
 def _run_stream(spark, sf) -> ResultTables:
     """The events file through the streaming job as JSON messages, in one batch."""
-    base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
-    source = (
-        spark.readStream.schema(tables.read(spark, sf, "events").schema)
-        # With the star a table is found whether it is one file or a folder of files.
-        .parquet(f"{sf}/events.parquet*")
-    )
-    messages = to_json_value(tables.flights_from(source).select(*FLIGHT_EVENT.names))
-    delete_at_exit(spark, base)
+    base = _stream_folder(spark)
     stored = ResultTables(f"{base}/tables")
     pipeline.start(
-        parse_events(messages),
+        _stream_of(spark, sf),
         airports=tables.airports(spark, sf),
         tables=stored,
         checkpoint=f"{base}/checkpoint",
@@ -525,6 +520,59 @@ def stream_flight_events(spark, sf):
     return plain(_run_stream(spark, sf).read(spark, "flight_events").drop("batch_id"))
 
 
+def _stream_of(spark, sf) -> DataFrame:
+    """The events file as a stream of parsed messages."""
+    source = (
+        spark.readStream.schema(tables.read(spark, sf, "events").schema)
+        # With the star a table is found whether it is one file or a folder of files.
+        .parquet(f"{sf}/events.parquet*")
+    )
+    return parse_events(to_json_value(tables.flights_from(source).select(*FLIGHT_EVENT.names)))
+
+
+def _stream_folder(spark) -> str:
+    base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    delete_at_exit(spark, base)
+    return base
+
+
+@query
+def stream_bucket_counts(spark, sf):
+    """A9 in event-time windows with state"""
+    base = _stream_folder(spark)
+    rows = at_airports(prepare(_stream_of(spark, sf)), tables.airports(spark, sf))
+    windows.start_counts(
+        rows, folder=f"{base}/counts", checkpoint=f"{base}/checkpoint", trigger={"availableNow": True}
+    ).awaitTermination()
+    return windows.read_counts(spark, f"{base}/counts")
+
+
+@query
+def stream_proximity_join(spark, sf):
+    """X3, J1 in append mode, without foreachBatch"""
+    base = _stream_folder(spark)
+    job = ProximityStream(
+        lambda: prepare(_stream_of(spark, sf)),
+        folder=f"{base}/near",
+        checkpoint=f"{base}/checkpoint",
+        trigger={"availableNow": True},
+    )
+    job.start(tables.airports(spark, sf)).awaitTermination()
+    flown = ["icao24", "timestamp", "latitude", "longitude"]
+    return spark.read.parquet(f"{base}/near").select(*flown, "ap_lat", "ap_lon", "iso_region", "type")
+
+
+@query
+def stream_state_vectors(spark, sf):
+    """S1, S2, S3, S6 from stored polls"""
+    base = _stream_folder(spark)
+    tables.state_documents(spark, sf).write.text(f"{base}/polls")
+    decoded = poll_events(read_polls(spark, f"{base}/polls"))
+    writer = decoded.writeStream.format("parquet").option("path", f"{base}/vectors")
+    writer.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(FLIGHT_EVENT).parquet(f"{base}/vectors")
+
+
 BATCH_DAYS = 6
 BATCH_TIME = datetime(2026, 1, 1, tzinfo=timezone.utc)
 _runs: dict[tuple[str, str], tuple[MaintainedTables, list[int], DataFrame]] = {}
