@@ -28,6 +28,7 @@ from .rows import bounded_sample, count_of, prepare, slices, spans_text, texts_o
 KINDS = ("email", "ip", "card", "phone")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -79,16 +80,30 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, free))
 
 
+def _ips(text: str) -> Iterator[tuple[int, int, list[str]]]:
+    """Matches of ``IP`` with their parts: the same as from the left, in time linear in the text.
+
+    A match takes whole runs of digits, so a dotted row of runs holds one for every four of them.
+    """
+    for m in _DOTTED.finditer(text):
+        parts = m.group().split(".")
+        start = m.start()
+        for i in range(0, len(parts) - 3, 4):
+            four = parts[i : i + 4]
+            end = start + sum(map(len, four)) + 3
+            yield start, end, four
+            start = end + 1
+
+
 def base_spans(text: str) -> list[tuple[int, int, str, int]]:
     """(start, rank, kind, end) of the fixed patterns, sorted."""
     found = []
     if "@" in text:
         found += [(s, 0, "email", e) for s, e in _emails(text)]
     if _DIGIT.search(text):
-        for m in IP.finditer(text):
-            parts = [p.lstrip("0") for p in m.group().split(".")]
-            if all(len(p) < 4 and int(p or "0") <= 255 for p in parts):
-                found.append((m.start(), 1, "ip", m.end()))
+        for start, end, four in _ips(text):
+            if all(len(p) < 4 and int(p or "0") <= 255 for p in (p.lstrip("0") for p in four)):
+                found.append((start, 1, "ip", end))
         for m in CARD.finditer(text):
             digits = _NOT_DIGIT.sub("", m.group())
             if 12 <= len(digits) <= 19 and luhn(digits):

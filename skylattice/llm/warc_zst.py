@@ -21,6 +21,7 @@ from pyarrow import fs as files
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.storage import delete_at_exit
 from .rows import bounded_sample, materialize, prepare, shared_uri, slices
 
 # Fixed values of the formats.
@@ -243,5 +244,7 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
 
 
 def new_folder(spark) -> str:
-    """A fresh folder for archives below the cluster's shared folder, as a URI."""
-    return f"{shared_uri(spark)}/warc/{uuid.uuid4().hex}"
+    """A fresh folder for archives below the cluster's shared folder, as a URI; it goes with the application."""
+    folder = f"{shared_uri(spark)}/warc/{uuid.uuid4().hex}"
+    delete_at_exit(spark, folder)
+    return folder

@@ -132,3 +132,25 @@ def test_nodes_of_a_document_are_bounded(spark):
     graph = pii.sample_graph(documents(spark, [text, "none", "a 7 b 7"]), 10)
     assert sorted(np.bincount(graph.doc).tolist()) == [2, pii.FIT_TOKENS]
     assert len(graph.near) == pii.FIT_TOKENS - 1 and len(graph.skip) == 1
+
+
+def test_a_million_digits_take_no_time(spark):
+    """Runs of digits, of dots between them and of blocks of four: linear, and the same matches."""
+    import time
+
+    run = "7" * 1_000_000
+    texts = [run, run + ".1.2.3", ".".join(["12"] * 300_000), "+" + "1" * 500_000 + " " * 500_000, "1 " * 400_000]
+    started = time.monotonic()
+    found = [pii.base_spans(t) for t in texts]
+    assert time.monotonic() - started < 60
+    ips = [[s for s in spans if s[2] == "ip"] for spans in found]
+    assert ips[0] == [] and ips[1] == [] and len(ips[2]) == 75_000
+    assert [texts[2][s[0] : s[3]] for s in ips[2][:2]] == ["12.12.12.12"] * 2
+    rows = pii.digest(pii.personal_spans(documents(spark, [run + " a@b.cd", "1.2.3.4.5.6.7.8.9"]))).orderBy("doc_id").collect()
+    assert [(r["n_email"], r["n_ip"]) for r in rows] == [(1, 0), (0, 2)]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="012.5 ", max_size=40))
+def test_dotted_runs_equal_the_pattern(text):
+    assert [(a, b) for a, b, _ in pii._ips(text)] == [m.span() for m in pii.IP.finditer(text)]
