@@ -12,13 +12,14 @@ not depend on partitioning, task order or retries.
 
 from __future__ import annotations
 
+import json
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..sources.storage import materialize
@@ -128,12 +129,13 @@ def isolation_scores(
     key: str = "icao24",
     sample_rows: int = SAMPLE_ROWS,
     held: list[Broadcast] | None = None,
+    grown_trees: list[Row] | None = None,
 ) -> DataFrame:
     """``df`` with ``isolation_score`` in (-1, 0); the lower, the more isolated.
 
     ``key`` must be unique, ``rows`` is the row count of ``df``. Each tree is grown on
     ``sample_rows`` rows, or on all where there are fewer. The broadcast forest is added to
-    ``held``, for the caller to release once the scores are stored.
+    ``held``, for the caller to release once the scores are stored, and its trees to ``grown_trees``.
     """
     size = min(sample_rows, rows)
     depth = max(1, math.ceil(math.log2(max(size, 2))))
@@ -143,6 +145,8 @@ def isolation_scores(
     arrays = tuple(
         np.array([t[part] for t in forest]) for part in ("feature", "threshold", "length")
     )
+    if grown_trees is not None:
+        grown_trees.extend(forest)
     shared = df.sparkSession.sparkContext.broadcast(arrays)
     if held is not None:
         held.append(shared)
@@ -170,6 +174,7 @@ def stored_scores(
     seed: int = 42,
     key: str = "icao24",
     sample_rows: int = SAMPLE_ROWS,
+    grown_trees: list[Row] | None = None,
 ) -> DataFrame:
     """``df`` with its isolation scores, stored in the shared folder.
 
@@ -180,13 +185,37 @@ def stored_scores(
     if rows == 0:
         return df.withColumn("isolation_score", F.lit(None).cast("double"))
     held: list[Broadcast] = []
-    options = {"trees": trees, "seed": seed, "key": key, "sample_rows": sample_rows}
+    options = {"trees": trees, "seed": seed, "key": key, "sample_rows": sample_rows, "grown_trees": grown_trees}
     scored = materialize(isolation_scores(df, rows=rows, held=held, **options))
     for forest in held:
         forest.destroy()
     return scored
 
 
+def walked_scores(df: DataFrame, forest: Sequence[Row], *, size: int) -> DataFrame:
+    """``df`` with ``walked_score``: the same trees walked by array functions, for checks.
+
+    ``size`` is the number of rows each tree was grown on.
+    """
+    trees = [{part: list(t[part]) for part in ("feature", "threshold", "length")} for t in forest]
+    kind = "array<struct<feature:array<int>, threshold:array<double>, length:array<double>>>"
+    stored = F.from_json(F.lit(json.dumps(trees)), kind)  # a constant of bounded size
+    inner = len(trees[0]["feature"]) if trees else 0
+    levels = F.sequence(F.lit(1), F.lit((inner + 1).bit_length() - 1))
+    point = F.array(*[F.coalesce(c, F.lit(0.0)).cast("double") for c in FEATURES])
+
+    def length(tree: Column) -> Column:
+        def step(node: Column, _: Column) -> Column:
+            beyond = F.get(point, F.get(tree["feature"], node)) > F.get(tree["threshold"], node)
+            return 2 * node + 1 + beyond.cast("int")
+
+        return F.get(tree["length"], F.aggregate(levels, F.lit(0), step) - inner)
+
+    total = F.aggregate(stored, F.lit(0.0), lambda sum_, tree: sum_ + length(tree))
+    path = total / max(1, len(trees)) / _average_path(size)
+    return df.withColumn("walked_score", -F.pow(F.lit(2.0), -path))
+
+
 def anomalies(df: DataFrame, *, contamination: float = 0.05, **options) -> DataFrame:
     """The most isolated share of ``df``; ``options`` are those of ``stored_scores``."""
     return flag_outliers(stored_scores(df, **options), contamination=contamination)

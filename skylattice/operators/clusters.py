@@ -13,6 +13,18 @@ FEATURES = ["speed_kmh", "altitude"]
 ROWS_PER_PARTITION = 200_000
 
 
+def _spread(df: DataFrame) -> tuple[int, float]:
+    spread = df.agg(
+        F.count(F.lit(1)).alias("n"), sum(F.var_pop(c) for c in FEATURES).alias("v")
+    ).first()
+    return spread["n"], math.sqrt(1e-4 * (spread["v"] or 0.0) / len(FEATURES))
+
+
+def stop_distance(df: DataFrame) -> float:
+    """The fit of ``df`` ends when no centre moves farther than this."""
+    return _spread(df)[1]
+
+
 def centres(
     df: DataFrame, *, k: int = 3, seed: int = 42, key: str = "icao24", max_iter: int = 300
 ) -> list[tuple[float, ...]]:
@@ -23,13 +35,10 @@ def centres(
     so for the fit the layout is made to follow from the rows alone (the number of
     partitions from their count).
     """
-    spread = df.agg(
-        F.count(F.lit(1)).alias("n"), sum(F.var_pop(c) for c in FEATURES).alias("v")
-    ).first()
-    if not spread["n"]:
+    rows, tolerance = _spread(df)
+    if not rows:
         return []
-    tolerance = math.sqrt(1e-4 * spread["v"] / len(FEATURES))
-    partitions = 1 + spread["n"] // ROWS_PER_PARTITION
+    partitions = 1 + rows // ROWS_PER_PARTITION
     ordered = (
         df.select(key, *FEATURES).repartition(partitions, key).sortWithinPartitions(key, *FEATURES)
     )

@@ -6,6 +6,7 @@ from helpers import column
 from pyspark.sql import functions as F
 
 from skylattice.operators import anomalies, clusters, forecast, quantiles
+from workload import queries
 
 PROBABILITIES = [0.0, 0.05, 0.25, 0.5, 0.75, 1.0]
 
@@ -225,3 +226,19 @@ def test_clusters_cost_no_more_than_one_cluster(spark):
 
 def test_clusters_of_nothing(spark):
     assert clusters.cluster(aircraft(spark, 1).limit(0)).count() == 0
+
+
+def test_checks_fail_for_random_scores_and_shifted_centres(spark):
+    rows = [(f"p{i}", 100.0 + 37 * i % 700, 500.0 + 911 * i % 9000, float(i % 19) - 9) for i in range(400)]
+    aircraft = spark.createDataFrame(rows, "icao24 string, speed_kmh double, altitude double, vertical_rate double")
+    trees = []
+    scored = anomalies.stored_scores(aircraft, grown_trees=trees)
+    report = lambda df: queries._anomaly_report(aircraft, df, trees).first()
+    assert report(scored)["scores_not_of_the_trees"] == 0 and len(trees) == 50
+    random = scored.withColumn("isolation_score", -F.pmod(F.xxhash64("icao24"), F.lit(10**9)) / 10**9)
+    assert report(random)["scores_not_of_the_trees"] > 390
+
+    found = clusters.centres(aircraft)
+    assert queries._cluster_report(aircraft, found).first()["centres_off_their_mean"] == 0
+    shifted = [(x, y + 400.0) for x, y in found]
+    assert queries._cluster_report(aircraft, shifted).first()["centres_off_their_mean"] > 0

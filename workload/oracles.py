@@ -364,11 +364,11 @@ _QUERIES = {
     "anomaly_checks": """
         SELECT count(*) AS rows, CAST(ceil(0.05 * (count(*) - 1)) AS BIGINT) AS flagged,
                0 AS other_reasons, 0 AS other_labels, 0 AS scores_out_of_range,
-               true AS separated, 0 AS foreign_rows
+               0 AS scores_not_of_the_trees, true AS separated, 0 AS foreign_rows
         FROM ml_rows""",
     "cluster_checks": """
         SELECT count(*) AS rows, count(*) AS sum_of_sizes, least(3, count(*)) AS clusters,
-               0 AS nearer_elsewhere, true AS numbered_by_centre
+               0 AS nearer_elsewhere, 0 AS centres_off_their_mean, true AS numbered_by_centre
         FROM ml_rows""",
     "ml_input": "SELECT * FROM ml_rows",
     "bucket_counts": """

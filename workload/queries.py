@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
@@ -21,7 +22,7 @@ from skylattice.operators import (
     traffic,
 )
 from skylattice.operators.anomalies import anomalies as find_anomalies
-from skylattice.operators.anomalies import flag_outliers, stored_scores
+from skylattice.operators.anomalies import SAMPLE_ROWS, flag_outliers, stored_scores, walked_scores
 from skylattice.operators.proximity import airport_join
 from skylattice.plans import monitor
 from skylattice.plans.enrich import at_airports, prepare
@@ -270,12 +271,14 @@ def surge_alerts(spark, sf):
 
 @query
 def all_alerts(spark, sf):
-    """L5: the three kinds together, from metrics and events stored once"""
-    daily = materialize(tables.region_metrics(spark, sf))
+    """L5: the three kinds together; events are read once and stored, metrics and log derive from that"""
+    flights = materialize(prepare(tables.flights(spark, sf)))
+    enriched = at_airports(flights, tables.airports(spark, sf))
+    daily = materialize(tables.daily_region_metrics(enriched))
     return alerts.all_alerts(
         alerts.congestion_alerts(daily),
         alerts.surge_alerts(alerts.surge_history(daily)),
-        alerts.anomaly_alerts(tables.anomaly_logs(spark, sf)),
+        alerts.anomaly_alerts(tables.steep_flights(tables.stored_events(flights))),
     )
 
 
@@ -331,19 +334,18 @@ def anomaly_alerts(spark, sf):
     return alerts.anomaly_alerts(anomalies(spark, sf))
 
 
-@query
-def anomaly_checks(spark, sf):
-    """M1, P12: what must hold of the flagged rows, taken from the operator's own output"""
-    aircraft = materialize(tables.aircraft(spark, sf))
-    scored = stored_scores(aircraft)
+def _anomaly_report(aircraft: DataFrame, scored: DataFrame, trees: list) -> DataFrame:
+    """What must hold of scores and flags; scores are compared with those of walking the trees anew."""
     flagged = materialize(flag_outliers(scored))
     keys = ["icao24", "speed_kmh", "altitude", "vertical_rate"]
-    scores = scored.select(*keys, "isolation_score")
+    walked = walked_scores(scored, trees, size=min(SAMPLE_ROWS, aircraft.count()))
+    scores = walked.select(*keys, "isolation_score", "walked_score")
     marked = scores.join(flagged.select("icao24", "reason", "anomaly_score"), "icao24", "left")
     hit = F.col("reason").isNotNull()
     worst = F.max(F.when(hit, F.col("isolation_score")))
     best = F.min(F.when(~hit, F.col("isolation_score")))
     foreign = flagged.join(aircraft, keys, "left_anti").agg(F.count(F.lit(1))).scalar()
+    away = F.abs(F.col("isolation_score") - F.col("walked_score"))
     return marked.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(hit).alias("flagged"),
@@ -352,10 +354,19 @@ def anomaly_checks(spark, sf):
         F.count_if((F.col("isolation_score") >= 0) | (F.col("isolation_score") < -1)).alias(
             "scores_out_of_range"
         ),
+        F.count_if(F.coalesce(away > 1e-9, F.lit(True))).alias("scores_not_of_the_trees"),
         F.coalesce(worst < best, F.lit(True)).alias("separated"),
     ).withColumn("foreign_rows", foreign)
 
 
+@query
+def anomaly_checks(spark, sf):
+    """M1, P12: what must hold of the flagged rows, taken from the operator's own output"""
+    aircraft = materialize(tables.aircraft(spark, sf))
+    trees: list = []
+    return _anomaly_report(aircraft, stored_scores(aircraft, grown_trees=trees), trees)
+
+
 @query
 def steep_alerts(spark, sf):
     """L3, D4 on the stand-in log"""
@@ -372,11 +383,12 @@ def aircraft_clusters(spark, sf):
     return _clustered(spark, sf)
 
 
-@query
-def cluster_checks(spark, sf):
-    """M2, A10: what must hold of the clusters, taken from the operator's own output"""
-    aircraft = materialize(tables.aircraft(spark, sf))
-    found = clusters.centres(aircraft)
+def _cluster_report(aircraft: DataFrame, found: list[tuple[float, ...]]) -> DataFrame:
+    """What must hold of centres: members nearest to their own, which is the mean of its members.
+
+    The fit stops when no centre moves farther than ``stop_distance``; one more step may not either,
+    up to twice that.
+    """
     clustered = clusters.assign(aircraft, found)
     away = [
         F.sqrt(F.pow(F.col("speed_kmh") - x, 2) + F.pow(F.col("altitude") - y, 2)) for x, y in found
@@ -384,15 +396,27 @@ def cluster_checks(spark, sf):
     away = F.array(*away) if found else F.array(F.lit(0.0))
     nearer = F.exists(away, lambda d: d < F.get(away, F.col("cluster")) - 1e-6)
     sizes = clusters.cluster_sizes(clustered).agg(F.sum("aircraft"), F.count(F.lit(1))).first()
+    limit = 2 * clusters.stop_distance(aircraft) + 1e-6
+    means = clustered.groupBy("cluster").agg(F.avg("speed_kmh").alias("x"), F.avg("altitude").alias("y"))
+    at = {r["cluster"]: (r["x"], r["y"]) for r in means.collect()}  # one row per cluster
+    off = [c for c, centre in enumerate(found) if c not in at or math.dist(at[c], centre) > limit]
     return clustered.agg(
         F.count(F.lit(1)).alias("rows"),
         F.lit(sizes[0] or 0).cast("bigint").alias("sum_of_sizes"),
         F.lit(sizes[1]).cast("bigint").alias("clusters"),
         F.count_if(nearer).alias("nearer_elsewhere"),
+        F.lit(len(off)).cast("bigint").alias("centres_off_their_mean"),
         F.lit(found == sorted(found)).alias("numbered_by_centre"),
     )
 
 
+@query
+def cluster_checks(spark, sf):
+    """M2, A10: what must hold of the clusters, taken from the operator's own output"""
+    aircraft = materialize(tables.aircraft(spark, sf))
+    return _cluster_report(aircraft, clusters.centres(aircraft))
+
+
 @query
 def cluster_sizes(spark, sf):
     """A10"""

@@ -76,21 +76,28 @@ def _daily(df: DataFrame) -> DataFrame:
     return df.withColumn("timestamp", F.timestamp_seconds(F.col("batch_id") * DAY_SECONDS))
 
 
+def daily_region_metrics(rows: DataFrame) -> DataFrame:
+    return _daily(traffic.region_metrics(rows, by=("batch_id", "region")))
+
+
 def region_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored metrics, one batch per day."""
-    return _daily(traffic.region_metrics(enriched(spark, sf_dir), by=("batch_id", "region")))
+    return daily_region_metrics(enriched(spark, sf_dir))
 
 
 def country_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _daily(traffic.country_metrics(enriched(spark, sf_dir), by=("batch_id", "country")))
 
 
+def stored_events(prepared: DataFrame) -> DataFrame:
+    """The last write per key of prepared flights."""
+    timed = prepared.withColumn("timestamp", F.timestamp_seconds("timestamp"))
+    return upsert_view(timed.select("batch_id", *TABLES["flight_events"].names))
+
+
 def flight_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored events: the last write per key, in days."""
-    timed = prepare(flights(spark, sf_dir)).withColumn(
-        "timestamp", F.timestamp_seconds("timestamp")
-    )
-    return upsert_view(timed.select("batch_id", *TABLES["flight_events"].names))
+    return stored_events(prepare(flights(spark, sf_dir)))
 
 
 def anomaly_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
