@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .rows import materialize
 
-LINKS_PER_TASK = 500_000
+LINKS_PER_TASK = 200_000
 LEAST_FILES = 8
 WORTH = 0.8  # stars are merged again while that leaves fewer links than this share
 

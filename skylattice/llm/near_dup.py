@@ -31,7 +31,7 @@ from .rows import materialize, prepare, slices
 KEYS = 16
 ROWS = 4
 BLOCK = 256
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))

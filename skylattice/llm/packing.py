@@ -32,7 +32,7 @@ END = 2  # appended to every document
 CAPACITY = 4096
 GROUP_TOKENS = 1 << 20
 PIECE_TOKENS = 512
-CACHED_WORDS = 600_000
+CACHED_WORDS = 300_000
 
 
 class WordEncoder(dict):
