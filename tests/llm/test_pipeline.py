@@ -18,7 +18,7 @@ NAMES = ["language", "line_dedup", "near_dedup", "decontamination", "packing"]
 
 def test_registration():
     assert [n for n, _ in corpus_pipeline.STAGES] == NAMES
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in OPERATORS} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in OPERATORS} == set(range(1, 14))
     assert {"pipeline", *OPERATORS} <= set(contract.queries())
     assert set(ORACLES) <= set(contract.oracle_sql())
 
