@@ -1,12 +1,14 @@
 """Line deduplication by content-defined chunks; DataFrame functions only.
 
-Every line has a hash; a polynomial hash rolled over the last ``window`` line hashes ends a chunk
-where it is divisible by ``divisor``. Boundaries depend on nearby lines alone, so an inserted line
-shifts none beyond it. Chunks of two or more lines whose hash appears more than once are compared
-byte by byte, and every occurrence but the first of a text is removed.
-
-``drop_repeated_runs`` sets a boundary at every filled line instead, with two filled lines a chunk,
-so that the chunks overlap and every repeated run of two or more filled lines is found whole.
+``drop_repeated_chunks``: every line has a hash; a polynomial hash rolled over the last ``window`` line
+hashes ends a chunk where it is divisible by ``divisor``. Boundaries depend on nearby lines alone, so an
+inserted line shifts none beyond it. Chunks of two or more lines whose hash appears more than once are
+compared byte by byte, and every occurrence but the first of a text is removed.
+
+A repeated run goes there only where boundaries enclose it, and a run of two lines may hold none unless
+every line is one. ``drop_repeated_runs``, which the registered query and the pipeline use, is that case:
+divisor one, so that every filled line is a boundary, and hashes rolled over two filled lines. Its chunks
+overlap, equal neighbours join to runs, and every repeated run of two or more filled lines is found whole.
 """
 
 from __future__ import annotations

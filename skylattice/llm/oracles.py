@@ -64,36 +64,32 @@ SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, component_id, component_id = d.
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN comps ON node = d.doc_id
 """
 
-# A line ends a chunk where the hash rolled over it and the line before is divisible by three.
+# A chunk is two filled lines in a row; a filled line owns the blank ones after it, and goes with a repeated chunk.
 OP5 = """
 WITH split AS (
-  SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL
+  SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL
 ), lines AS (
   SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS i FROM split
-), hashed AS (
-  SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM lines
-), ended AS (
-  SELECT *, (h + 31 * coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0)) % 3 = 0 AS ends
-  FROM hashed
-), numbered AS (
-  SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i
-                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k
-  FROM ended
+), owned AS (
+  SELECT *, trim(line, ' ' || chr(9) || chr(13)) <> '' AS filled,
+         sum((trim(line, ' ' || chr(9) || chr(13)) <> '')::INT) OVER (PARTITION BY doc_id ORDER BY i) AS k
+  FROM lines
 ), chunks AS (
-  SELECT doc_id, k, string_agg(line, chr(10) ORDER BY i) AS body,
-         count(*) FILTER (trim(line, ' ') <> '') AS filled
-  FROM numbered GROUP BY doc_id, k
+  SELECT doc_id, k, line, lead(line) OVER (PARTITION BY doc_id ORDER BY k) AS below FROM owned WHERE filled
+), repeats AS (
+  SELECT doc_id, k FROM chunks WHERE below IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY line, below ORDER BY doc_id, k) > 1
 ), gone AS (
-  SELECT doc_id, k FROM chunks WHERE filled > 1
-  QUALIFY row_number() OVER (PARTITION BY body ORDER BY doc_id, k) > 1
+  SELECT doc_id, k FROM repeats UNION SELECT doc_id, k + 1 FROM repeats
+), runs AS (
+  SELECT doc_id, count(*) AS n FROM gone WHERE (doc_id, k - 1) NOT IN (SELECT (doc_id, k) FROM gone) GROUP BY doc_id
 ), kept AS (
-  SELECT n.doc_id, string_agg(line, chr(10) ORDER BY i) FILTER (g.k IS NULL) AS text,
-         count(DISTINCT g.k) AS removed_chunks, count(g.k) AS removed_lines
-  FROM numbered n LEFT JOIN gone g ON g.doc_id = n.doc_id AND g.k = n.k GROUP BY n.doc_id
+  SELECT o.doc_id, string_agg(line, chr(10) ORDER BY i) FILTER (g.k IS NULL) AS text, count(g.k) AS removed_lines
+  FROM owned o LEFT JOIN gone g ON g.doc_id = o.doc_id AND g.k = o.k GROUP BY o.doc_id
 )
 SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(kept.text, '') END AS text,
-       coalesce(removed_chunks, 0) AS removed_chunks, coalesce(removed_lines, 0) AS removed_lines
-FROM documents d LEFT JOIN kept ON kept.doc_id = d.doc_id
+       coalesce(runs.n, 0) AS removed_chunks, coalesce(removed_lines, 0) AS removed_lines
+FROM documents d LEFT JOIN kept ON kept.doc_id = d.doc_id LEFT JOIN runs ON runs.doc_id = d.doc_id
 """
 
 def _centroid_rounds(rounds: int) -> str:

@@ -51,8 +51,8 @@ def op4_near_duplicates(spark, sf):
 
 
 def op5_line_chunks(spark, sf):
-    """Texts without repeated chunks of lines."""
-    return line_chunks.drop_repeated_chunks(read(spark, sf, "documents")).select(
+    """Texts without any repeated run of two or more filled lines."""
+    return line_chunks.drop_repeated_runs(read(spark, sf, "documents")).select(
         "doc_id", "text", "removed_chunks", "removed_lines"
     )
 
