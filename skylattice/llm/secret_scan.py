@@ -9,9 +9,10 @@ takes "as regular as writing" for its null, so that a long random string gives a
 * runs of character classes, against at most half of a random string's changes;
 * lag-one serial correlation of alphabet positions, against a correlation of at least one half.
 
-The three normal scores, each limited so that none outvotes the others, are combined (Stouffer). Benjamini-Hochberg runs over all candidates of the
-table separately per length stratum, so short strings, of which there are many and which can
-prove little, neither spend nor borrow the error budget of long ones.
+The three normal scores, each limited so that none outvotes the others, are combined (Stouffer).
+Every candidate is scored and counts among the tests, plain words included. Benjamini-Hochberg runs
+over all candidates of the table separately per length stratum, so short strings, of which there are
+many and which can prove little, neither spend nor borrow the error budget of long ones.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -69,13 +72,28 @@ def encoding(token: str) -> str | None:
 
 
 def _classes(token: str) -> np.ndarray:
+    """0 digits, 1 upper, 2 lower; what joins the words of a name makes no change of class.
+
+    A capital before a lower letter counts as lower, and another sign as the letter before it.
+    """
     codes = np.frombuffer(token.encode(), dtype=np.uint8)
-    return np.select([codes < 48, codes < 58, codes < 91, codes == 95], [3, 0, 1, 3], 2)
+    classes = np.select([codes < 48, codes < 58, codes < 91, codes == 95], [3, 0, 1, 3], 2)
+    classes[:-1][(classes[:-1] == 1) & (classes[1:] == 2)] = 2
+    before = np.maximum.accumulate(np.where(classes == 3, 0, np.arange(len(classes))))
+    return classes[before]
 
 
+@lru_cache(maxsize=None)
 def _change_rate(letters: str) -> float:
-    shares = np.bincount(_classes(letters)) / len(letters)
-    return 1.0 - float((shares**2).sum())
+    """Chance that neighbours of a random string differ in class, from all runs of four kinds of signs."""
+    kinds = {"0": 0.0, "A": 0.0, "a": 0.0, "+": 0.0}
+    for c in letters:
+        kinds["0" if c.isdigit() else "A" if c.isupper() else "a" if c.islower() else "+"] += 1 / len(letters)
+    rate = 0.0
+    for four in product(kinds, repeat=4):
+        _, left, right, _ = _classes("".join(four))
+        rate += math.prod(kinds[c] for c in four) * float(left != right)
+    return rate
 
 
 def uniformity_score(token: str, letters: str) -> float:
@@ -139,8 +157,6 @@ def _spans(text: str) -> tuple[list[tuple], list[tuple]]:
     found = []
     for m in CANDIDATE.finditer(text):
         token = m.group()
-        if token.isalpha() and (token[1:].islower() or token.isupper()):
-            continue  # a plain word: no class change, so its runs score is negative at any length
         if any(s < m.end() and m.start() < e for s, _, _, e in base):
             continue
         score = randomness_score(token)

@@ -109,3 +109,69 @@ def test_hard_rows(spark):
 def test_long_and_plain_texts(spark, text):
     (row,) = ss.digest(ss.secret_spans(documents(spark, [text]))).collect()
     assert row["n_hex"] == (1 if text.startswith("0") else 0)
+
+
+def names_of_writing(rng, n):
+    """Candidates as writing and code have them, with how their words are joined."""
+    syllable = lambda: rng.choice("bcdfghklmnprstvwz") + rng.choice("aeiou") + rng.choice(["", "", "", "n", "r", "s", "t"])
+    words = ["".join(syllable() for _ in range(rng.randint(1, 4))) for _ in range(2000)]
+    joins = {
+        "plain": "".join,
+        "upper": lambda ws: "".join(ws).upper(),
+        "titles": lambda ws: "".join(w.title() for w in ws),
+        "camel": lambda ws: ws[0] + "".join(w.title() for w in ws[1:]) + str(rng.randint(1, 99)),
+        "snake": "_".join,
+        "snake with a number": lambda ws: "_".join(ws) + str(rng.randint(1, 2030)),
+        "kebab": "-".join,
+        "path": "/".join,
+    }
+    found = []
+    while len(found) < n:
+        kind = rng.choice(list(joins))
+        ws = [words[min(len(words), int(rng.paretovariate(1.0))) - 1] for _ in range(rng.randint(2, 9))]
+        token = joins[kind](ws)
+        if len(token) >= 16:
+            found.append((kind, token))
+    return found
+
+
+def test_scores_of_writing_keep_their_error_rate():
+    """For every way of joining words, no more names pass a level than the level says."""
+    rng = random.Random(31)
+    scores = {}
+    for kind, token in names_of_writing(rng, 16_000):
+        scores.setdefault(kind, []).append(ss.randomness_score(token))
+    for kind, got in scores.items():
+        for z in (1.64, 2.33, 3.09, 3.72):
+            level = 0.5 * math.erfc(z / math.sqrt(2))
+            share = np.mean(np.array(got) > z)
+            assert share <= level + 3 * math.sqrt(level / len(got)), (kind, z, share)
+
+
+@pytest.mark.parametrize("secrets", [60, 1200])
+def test_share_of_false_finds(spark, secrets):
+    """Few and many secrets among names: all finds but a tiny share are secrets, and most secrets are found."""
+    rng = random.Random(secrets)
+    names = [t for _, t in names_of_writing(rng, 6000)]
+    kinds = [ss.ALPHABETS[k] for k in ("base62", "base64url")]
+    hidden = [random_token(rng, rng.choice(kinds), rng.randint(36, 60)) for _ in range(secrets)]
+    tokens = [(t, False) for t in names] + [(t, True) for t in hidden]
+    rng.shuffle(tokens)
+    texts = [" ".join(t for t, _ in tokens[i : i + 20]) for i in range(0, len(tokens), 20)]
+    truth = [{t for t, secret in tokens[i : i + 20] if secret} for i in range(0, len(tokens), 20)]
+    found = [
+        (texts[r["doc_id"]][s["start"] : s["end"]], r["doc_id"])
+        for r in ss.secret_spans(documents(spark, texts)).collect()
+        for s in r["added"]
+    ]
+    false = [t for t, d in found if t not in truth[d]]
+    assert len(false) <= max(1, 0.002 * len(found)), false
+    assert len(found) - len(false) >= 0.85 * secrets
+
+
+def test_single_case_runs_are_scored():
+    rng = random.Random(12)
+    token = random_token(rng, string.ascii_uppercase + "234567", 24)
+    words = "abcdefghijklmnopqrst " + token + " " + "x" * 40
+    _, found = ss._spans(words)
+    assert [words[f[0] : f[3]] for f in found] == words.split()
