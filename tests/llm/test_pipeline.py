@@ -4,13 +4,14 @@ import random
 import re
 
 from compare import differences, duck
-from llm_cases import brute_components, documents, sentence
+from llm_cases import SCHEMA, brute_components, documents, hard, sentence
 
 import __spark_entry__ as contract
 import corpus_pipeline
 from skylattice.llm import tiling
 from skylattice.llm.oracles import ORACLES
 from skylattice.llm.queries import OPERATORS
+from skylattice.llm.rows import read
 
 SF = "/root/testdata/sf0.001"
 NAMES = ["language", "line_dedup", "near_dedup", "decontamination", "packing"]
@@ -42,10 +43,14 @@ def test_language_stage_without_labels(spark):
         assert sorted(r["doc_id"] for r in kept.collect()) == [0, 4], langs
 
 
-def ids_after_run(spark, monkeypatch, docs):
-    stored = corpus_pipeline.read
+def run_over(spark, monkeypatch, docs):
+    stored = read
     monkeypatch.setattr(corpus_pipeline, "read", lambda s, d, name: docs if name == "documents" else stored(s, d, name))
-    return sorted(r["doc_id"] for r in corpus_pipeline.run(spark, SF).select("doc_id").distinct().collect())
+    return corpus_pipeline.run(spark, SF)
+
+
+def ids_after_run(spark, monkeypatch, docs):
+    return sorted(r["doc_id"] for r in run_over(spark, monkeypatch, docs).select("doc_id").distinct().collect())
 
 
 def test_run_without_labels(spark, monkeypatch):
@@ -54,6 +59,15 @@ def test_run_without_labels(spark, monkeypatch):
     assert ids_after_run(spark, monkeypatch, docs) == list(range(6))
 
 
+def test_run_over_hard_and_empty_tables(spark, monkeypatch):
+    """Documents without letters go; the long one, the twins' first and those without an id or label stay."""
+    kept = [
+        r["doc_id"] for r in run_over(spark, monkeypatch, hard(spark)).select("doc_id").distinct().collect()
+    ]
+    assert set(kept) == {None, 4, 5, 7, 8}
+    assert run_over(spark, monkeypatch, spark.createDataFrame([], SCHEMA)).count() == 0
+
+
 def test_run_keeps_one_of_each_group_of_equal_texts(spark, monkeypatch):
     rng = random.Random(9)
     groups = [

@@ -58,14 +58,55 @@ def test_reordered_passages_are_found_and_clean_documents_are_not(spark):
     assert {r["doc_id"] for r in tiling.clean(docs, bench).collect()} == {2, 3, 4, 5}
 
 
-def test_blocks_of_the_benchmark_change_nothing(spark):
+def pairs_of(found):
+    return sorted((tuple(r) for r in found.collect()), key=repr)
+
+
+def test_join_of_seeds_equals_one_block(spark):
+    """A benchmark beyond one block: the same pairs, tiles and clean documents."""
     rng = random.Random(6)
-    items = [sentence(rng, 20) for _ in range(12)]
-    docs = documents(spark, [f"{sentence(rng)} {rng.choice(items)} {sentence(rng)}" for _ in range(30)])
-    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
-    whole = tiling.contaminated(docs, bench).select("doc_id", "item_id", "covered")
-    parts = tiling.contaminated(docs, bench, block_chars=300).select("doc_id", "item_id", "covered")
-    assert sorted(whole.collect()) == sorted(parts.collect()) and whole.count() >= 30
+    lead = sentence(rng, 9)
+    items = [f"{lead} {sentence(rng, n)}" for n in (8, 8, 20, 20, 30, 40)] + [sentence(rng, n) for n in (3, 4, 5, 6, 25)]
+    items += [items[0], "aa " * 30, "one two", "", None]
+    texts = []
+    for _ in range(40):
+        words = rng.choice(items[:11]).split()
+        cut = rng.randint(0, len(words))
+        texts.append(" ".join([sentence(rng), *words[cut:], sentence(rng, rng.randint(0, 9)), *words[:cut], sentence(rng)]))
+    texts += [lead, texts[0], texts[0], "aa " * 300, "x one two y", None, "", sentence(rng, 2000) + " " + items[4]]
+    docs = documents(spark, texts)
+    docs = docs.union(docs.where("doc_id < 3")).union(docs.where("doc_id = 1").selectExpr("null", "text", "lang", "source", "n_chars"))
+    ids = [*range(len(items) - 1), None]
+    bench = spark.createDataFrame(list(zip(ids, items)), "item_id bigint, text string")
+    whole, parts = (tiling.contaminated(docs, bench, block_chars=n) for n in (8_000_000, 300))
+    assert parts.schema.simpleString() == whole.schema.simpleString()
+    assert pairs_of(parts) == pairs_of(whole) and whole.count() >= 30
+    kept = [pairs_of(tiling.clean(docs, bench, block_chars=n)) for n in (8_000_000, 300)]
+    assert kept[0] == kept[1] and 0 < len(kept[0]) < docs.count()
+
+
+def test_needed_seeds_meet_every_document_that_is_covered():
+    """Without a needed seed the others cover too little, and what many items share is not needed."""
+    rng = random.Random(15)
+    for _ in range(200):
+        n, width = rng.randint(5, 40), 5
+        seed = [rng.randint(0, 12) for _ in range(n - width + 1)]
+        common = [1 + one % 7 for one in seed]
+        kept = tiling.needed(range(len(seed)), seed, common, n, width, 0.6)
+        rest = {j for i, one in enumerate(seed) if one not in kept for j in range(i, i + width)}
+        assert kept and len(rest) < 0.6 * n
+    shared = tiling.needed(range(16), range(16), [9] * 6 + [1] * 10, 20, 5, 0.6)
+    assert not set(shared) & set(range(6))
+
+
+def test_join_of_seeds_on_hard_rows(spark):
+    bench = spark.createDataFrame([(1, "a null id with words"), (None, "été çà")], "item_id bigint, text string")
+    pairs = tiling.contaminated(hard(spark), bench, block_chars=1).select("doc_id", "item_id").collect()
+    assert sorted(map(tuple, pairs), key=str) == [(7, None), (None, 1)]
+    kept = tiling.clean(hard(spark), bench, block_chars=1)
+    assert kept.columns == hard(spark).columns and kept.count() == 9
+    assert tiling.contaminated(hard(spark).limit(0), bench, block_chars=1).count() == 0
+    assert tiling.clean(hard(spark), bench.selectExpr("item_id", "'...' AS text"), block_chars=1).count() == 11
 
 
 def test_short_items_have_to_appear_whole(spark):
