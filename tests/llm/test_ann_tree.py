@@ -2,6 +2,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from skylattice.llm import ann_tree
+from skylattice.llm.queries import OPERATORS
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int"
 
@@ -86,3 +87,20 @@ def test_every_query_gets_all_its_rows(spark):
     got = {r["query_id"]: r["n"] for r in found.groupBy("query_id").agg(F.count("*").alias("n")).collect()}
     assert set(got) == {n for n, _ in data if n % 20 == 0}
     assert set(got.values()) == {ann_tree.TOP}
+
+
+def test_recall_on_the_given_table(spark, small_sf):
+    """The registered query on evenly spread vectors, against all scores."""
+    folder = small_sf.replace("0.001", "0.01")
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding").where("embedding IS NOT NULL").collect()
+    ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], dtype=float)
+    got = {}
+    for r in OPERATORS["op6_neighbours"](spark, folder).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    shares = []
+    for i in np.flatnonzero(ids % 20 == 0):
+        score = x @ x[i]
+        score[i] = -np.inf
+        true = ids[np.lexsort((ids, -score))[:20]].tolist()
+        shares.append(len(got[ids[i]].intersection(true)) / 20)
+    assert len(shares) >= 20 and np.mean(shares) >= 0.9
