@@ -149,17 +149,31 @@ def _even(groups: DataFrame, known: Known, total: int, capacity: int, shards: in
     return ends if ends and ends[-1] >= total else [*ends, total]
 
 
+def _with_gaps(groups: DataFrame, edges: list[tuple[int, int]], widths: list[int]) -> DataFrame:
+    """The groups that end inside one of the gaps, which are apart and in order, with its number and ``width``.
+
+    Gaps are listed under the equal buckets they touch, of which there are twice as many as gaps, so a
+    group meets the few gaps of its bucket. The list has at most four rows a gap.
+    """
+    start, size = edges[0][0], max(1, -(-(edges[-1][1] - edges[0][0]) // (2 * len(edges))))
+    listed = [
+        (bucket, n, a, b, width)
+        for n, ((a, b), width) in enumerate(zip(edges, widths))
+        for bucket in range((a - start) // size, (b - start) // size + 1)
+    ]
+    frame = groups.sparkSession.createDataFrame(
+        listed, "bucket bigint, gap int, low bigint, high bigint, width bigint"
+    )
+    inside = groups.where((F.col("end") > start) & (F.col("end") < edges[-1][1]))
+    inside = inside.withColumn("bucket", F.expr(f"(`end` - {start}) div {size}"))
+    return inside.join(F.broadcast(frame), "bucket").where("`end` > low AND `end` < high")
+
+
 def _refined(groups: DataFrame, known: Known, open_gaps: list[int], points: int) -> Known:
     """Cut points added inside the given gaps, in one job; each gap gets its share of ``points``."""
     share = max(2, points // len(open_gaps))
     edges = [(known.points[i], known.points[i + 1]) for i in open_gaps]
-    spark = groups.sparkSession
-    frame = spark.createDataFrame(
-        [(n, a, b, max(1, -(-(b - a) // share))) for n, (a, b) in enumerate(edges)],
-        "gap int, low bigint, high bigint, width bigint",
-    )
-    inside = groups.where((F.col("end") > edges[0][0]) & (F.col("end") < edges[-1][1]))
-    rows = inside.join(F.broadcast(frame), (F.col("end") > F.col("low")) & (F.col("end") < F.col("high")))
+    rows = _with_gaps(groups, edges, [max(1, -(-(b - a) // share)) for a, b in edges])
     found = (
         rows.groupBy("gap", F.floor((F.col("end") - F.col("low")) / F.col("width")).alias("bin"), "width")
         .agg(F.max("end").alias("end"), F.min("end").alias("first"))

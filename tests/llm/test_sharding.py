@@ -67,3 +67,16 @@ def test_hard_rows(spark):
     assert len({r["shard"] for r in got if r["doc_id"] in (5, 6)}) == 1
     assert sharding.shard_rows(hard(spark).limit(0)).count() == 0
     assert sharding.shard_rows(documents(spark, ["only"])).count() == 1
+
+
+def test_every_row_meets_its_gap(spark):
+    """Wide, narrow, touching and single gaps: each row with the gap around it, and the list stays short."""
+    rng = random.Random(17)
+    for gaps in (1, 2, 60):
+        bounds = sorted(rng.sample(range(1, 4000), 2 * gaps) if gaps < 60 else rng.sample(range(1, 300), 60) + rng.sample(range(300, 10**9), 60))
+        edges = list(zip(bounds[::2], bounds[1::2])) if gaps < 60 else list(zip(bounds, bounds[1:]))
+        ends = {e for a, b in edges for e in (a, a + 1, (a + b) // 2, b - 1, b)} | set(range(0, 4000, 7))
+        groups = spark.createDataFrame([(e,) for e in sorted(ends)], "end bigint")
+        got = sharding._with_gaps(groups, edges, [b - a for a, b in edges]).select("end", "gap", "width").collect()
+        want = [(e, n, b - a) for e in sorted(ends) for n, (a, b) in enumerate(edges) if a < e < b]
+        assert sorted(map(tuple, got)) == want
