@@ -306,15 +306,15 @@ def join_graphs(graphs: list[Graph]) -> Graph:
     return Graph(doc=doc, **every, **edges)
 
 
-def sample_graph(docs: DataFrame, fit_docs: int) -> Graph:
-    """Nodes and edges of the ``fit_docs`` documents of the smallest id hash that have any."""
+def sample_graph(docs: DataFrame, fit_docs: int, fit_tokens: int = FIT_TOKENS) -> Graph:
+    """Up to ``fit_tokens`` nodes, with edges, of each of the ``fit_docs`` documents of the smallest id hash that have any."""
     marked = docs.where(F.col("text").rlike("[0-9@]"))
     rows = bounded_sample(marked, fit_docs, "doc_id", "text")
 
     def graphs(batches):
         # Edges come from the whole text; the sample carries nodes and edges, no texts.
         for batch in slices(batches):
-            found = [graph_of([text], [base_spans(text)], FIT_TOKENS) for text in texts_of(batch, "text")]
+            found = [graph_of([text], [base_spans(text)], fit_tokens) for text in texts_of(batch, "text")]
             sent = [
                 pa.array([getattr(g, name).astype(kind).tobytes() for g in found], type=pa.binary())
                 for name, kind in _SENT.items()
@@ -334,22 +334,24 @@ def sample_graph(docs: DataFrame, fit_docs: int) -> Graph:
     return join_graphs(found)
 
 
-def personal_spans(docs: DataFrame, fit_docs: int = 1000, certain: float = 0.95) -> DataFrame:
+def personal_spans(
+    docs: DataFrame, fit_docs: int = 1000, certain: float = 0.95, fit_tokens: int = FIT_TOKENS
+) -> DataFrame:
     """``(doc_id, base, added)``: spans of the fixed patterns, and what the field adds to them.
 
     Spans are structs (start, rank, kind, end) in code points, sorted by start. A null or empty
     text has none. Repeated rows are labelled each alike; a null ``doc_id`` is carried through;
     other columns of ``docs`` are not read. An empty table, or one without number-like tokens,
     gives zero weights and no added span. ``fit_docs`` bounds the documents the field is fitted
-    on, at most 64 nodes of each with the edges between them; every text is labelled as a whole. A node is added only with a
-    marginal of at least ``certain``.
+    on, ``fit_tokens`` the nodes of each (its first ones, with the edges between them); every text
+    is labelled as a whole. A node is added only with a marginal of at least ``certain``.
     """
     spark = docs.sparkSession
     prepare(spark)
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
-    model = fit(sample_graph(rows, fit_docs))
+    model = fit(sample_graph(rows, fit_docs, fit_tokens))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [n for n, _ in _SPAN]

@@ -143,6 +143,8 @@ def write_archives(
     min_bytes: int = 0,
     dict_bytes: int = DICT_BYTES,
     archive_bytes: int = ARCHIVE_BYTES,
+    sample_rows: int = SAMPLE_ROWS,
+    sample_bytes: int = SAMPLE_BYTES,
 ) -> DataFrame:
     """Write one record per row of ``pages`` (page_id, url, html); the archives as rows.
 
@@ -150,7 +152,8 @@ def write_archives(
     response and the others revisits. A null html is an empty payload, a null url an empty target.
     A null page_id is never the smallest: it refers to the smallest other, and rows of null ids
     alone, or rows repeating the smallest id, are all responses. Other columns are not read. An
-    empty table writes no archive.
+    empty table writes no archive. The dictionary alone is built from a bounded sample: ``sample_rows``
+    records, of each payload its even share of ``sample_bytes``; every payload is written whole.
     """
     spark = pages.sparkSession
     prepare(spark)
@@ -159,9 +162,9 @@ def write_archives(
         F.col("url").cast("string").alias("url"),
         F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "utf-8").alias("payload"),
     )
-    share = F.substring("payload", 1, SAMPLE_BYTES // SAMPLE_ROWS).alias("payload")
-    sample = bounded_sample(rows, SAMPLE_ROWS, "page_id", "url").select("page_id", "url", share)
-    sample = sample.where(F.length("payload") > 0).collect()  # at most SAMPLE_BYTES
+    share = F.substring("payload", 1, sample_bytes // sample_rows).alias("payload")
+    sample = bounded_sample(rows, sample_rows, "page_id", "url").select("page_id", "url", share)
+    sample = sample.where(F.length("payload") > 0).collect()  # at most sample_bytes
     content = dictionary([record(r[0], r[1], bytes(r[2]), None, "") for r in sample], dict_bytes)
     shared = spark.sparkContext.broadcast(content)
 

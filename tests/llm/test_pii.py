@@ -132,6 +132,7 @@ def test_nodes_of_a_document_are_bounded(spark):
     graph = pii.sample_graph(documents(spark, [text, "none", "a 7 b 7"]), 10)
     assert sorted(np.bincount(graph.doc).tolist()) == [2, pii.FIT_TOKENS]
     assert len(graph.near) == pii.FIT_TOKENS - 1 and len(graph.skip) == 1
+    assert sorted(np.bincount(pii.sample_graph(documents(spark, [text]), 10, fit_tokens=5).doc).tolist()) == [5]
 
 
 def test_a_million_digits_take_no_time(spark):
