@@ -31,6 +31,7 @@ LEAF_ROWS = 100  # of the sample
 CALIBRATION = 200
 RECALL = 0.95
 CELL_ROWS = 2_000
+PAIRS = 1_000_000  # scores held at a time
 TOP = 20
 
 
@@ -109,32 +110,40 @@ def build(rows: np.ndarray, branch: int = BRANCH, leaf_rows: int = LEAF_ROWS, st
     return Tree(np.array(centres), children, leaf_of)
 
 
-def exact_scores(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Inner products pair by pair, summed from the first component on: equal vectors, equal scores."""
-    total = np.zeros(len(queries))
+def exact_scores(queries: np.ndarray, rows: np.ndarray, query: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Inner products of the pairs ``(query, row)``, summed from the first component on: equal vectors, equal scores."""
+    total = np.zeros(len(query))
     for d in range(queries.shape[1]):
-        total = total + queries[:, d] * rows[:, d]
+        total += queries[query, d] * rows[row, d]
     return total
 
 
 def best(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, own: np.ndarray, top: int):
-    """(query number, id, score) of the ``top`` rows of each query; ties to the smaller id."""
-    out_q, out_id, out_s = [], [], []
+    """(query number, id, score) of the ``top`` rows of each query; ties to the smaller id.
+
+    One product of matrices for many queries finds what may be among the best, a second pass over
+    these pairs alone sums their scores exactly.
+    """
+    out = [(np.array([], dtype=np.int64), np.array([], dtype=np.int64), np.array([]))]
     if not len(rows) or not len(queries):
-        return np.array([], dtype=np.int64), np.array([], dtype=np.int64), np.array([])
-    rough = queries @ rows.T
+        return out[0]
     slack = 1e-9 * (1.0 + np.abs(queries).sum(axis=1) * np.abs(rows).max())
-    for q in range(len(queries)):
-        s = rough[q]
-        # The query's own row may be among the best, so one more is looked at.
-        floor = np.partition(s, -(top + 1))[-(top + 1)] if len(s) > top + 1 else -np.inf
-        at = np.flatnonzero((s >= floor - slack[q]) & (ids != own[q]))
-        exact = exact_scores(np.broadcast_to(queries[q], (len(at), queries.shape[1])), rows[at])
-        order = np.lexsort((ids[at], -exact))[:top]
-        out_q.append(np.full(len(order), q))
-        out_id.append(ids[at][order])
-        out_s.append(exact[order])
-    return np.concatenate(out_q), np.concatenate(out_id), np.concatenate(out_s)
+    step = max(1, PAIRS // len(rows))
+    for start in range(0, len(queries), step):
+        q = queries[start : start + step]
+        mine = ids[None, :] == own[start : start + step, None]
+        rough = np.where(mine, -np.inf, q @ rows.T)
+        if len(rows) > top:
+            floor = np.partition(rough, -top, axis=1)[:, -top] - slack[start : start + step]
+        else:
+            floor = np.full(len(q), -np.inf)
+        at, row = np.nonzero((rough >= floor[:, None]) & ~mine)
+        exact = exact_scores(q, rows, at, row)
+        order = np.lexsort((ids[row], -exact, at))
+        first = np.searchsorted(at[order], at[order], "left")
+        order = order[np.arange(len(order)) - first < top]
+        out.append((at[order] + start, ids[row][order], exact[order]))
+    return tuple(map(np.concatenate, zip(*out)))
 
 
 def _usable(vectors: DataFrame) -> DataFrame:
@@ -146,9 +155,12 @@ def _usable(vectors: DataFrame) -> DataFrame:
     )
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    rows = column.to_pylist()
-    return np.array(rows, dtype=np.float64) if rows else np.zeros((0, 0))
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Vectors of one length, none of them null, as rows."""
+    if not len(column):
+        return np.zeros((0, 0))
+    parts = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
+    return np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in parts]).reshape(len(column), -1)
 
 
 def _extended(rows: np.ndarray, longest: float) -> np.ndarray:
