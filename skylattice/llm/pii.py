@@ -197,11 +197,10 @@ class Model:
     skip: np.ndarray  # symmetric
 
 
-def _neighbour_labels(graph: Graph) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Counts of neighbours' labels: before, after, and over skip edges."""
+def _neighbour_labels(graph: Graph, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts of neighbours' labels: before, after, and over skip edges; ``hot`` has the label of every node."""
     n, k = len(graph.start), len(KINDS) + 1
     before, after, skip = np.zeros((n, k)), np.zeros((n, k)), np.zeros((n, k))
-    hot = np.eye(k)[graph.weak]
     np.add.at(before, graph.near[:, 1], hot[graph.near[:, 0]])
     np.add.at(after, graph.near[:, 0], hot[graph.near[:, 1]])
     np.add.at(skip, graph.skip[:, 1], hot[graph.skip[:, 0]])
@@ -210,20 +209,28 @@ def _neighbour_labels(graph: Graph) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 def fit(graph: Graph, steps: int = 300, rate: float = 0.5, decay: float = 1e-3) -> Model:
-    """Pseudo-likelihood by gradient ascent; an empty sample gives zero weights."""
+    """Pseudo-likelihood by gradient ascent; an empty sample gives zero weights.
+
+    Where no pattern covers a node but one covers another occurrence of its token, the patterns leave
+    open whether it is data: its label counts as unknown, not as "no entity".
+    """
     k = len(KINDS) + 1
     model = Model(np.zeros((N_FEATURES, k)), np.zeros((k, k)), np.zeros((k, k)))
     n = len(graph.start)
     if not n:
         return model
-    before, after, skip = _neighbour_labels(graph)
     truth = np.eye(k)[graph.weak]
+    open_nodes = (graph.weak == 0) & (_neighbour_labels(graph, truth)[2][:, 1:].sum(axis=1) > 0)
+    truth[open_nodes] = 0.0
+    before, after, skip = _neighbour_labels(graph, truth)
+    n -= int(open_nodes.sum())  # at least the covered occurrence is left
     for _ in range(steps):
         score = graph.features @ model.unary + before @ model.step + after @ model.step.T
         score += skip @ model.skip
         score -= score.max(axis=1, keepdims=True)
         p = np.exp(score)
         miss = truth - p / p.sum(axis=1, keepdims=True)
+        miss[open_nodes] = 0.0
         model.unary += rate * (graph.features.T @ miss / n - decay * model.unary)
         model.step += rate * ((before.T @ miss + (after.T @ miss).T) / n - decay * model.step)
         pull = skip.T @ miss / n
