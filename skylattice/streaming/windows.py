@@ -7,20 +7,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.pick import upsert_view
+from ..operators.traffic import stands_for
 
 KEYS = ("region", "bucket")
 SCHEMA = "region string, bucket bigint, count bigint, batch_id bigint"
 
 
 def windowed_counts(rows: DataFrame, *, bucket_seconds: int = 30, delay: str = "10 minutes") -> DataFrame:
-    """``(region, bucket, count)`` of streamed rows with ``region`` and ``event_time``.
+    """``(region, bucket, count)`` of streamed rows, enriched or counted, with ``region`` and ``event_time``.
 
     A bucket is counted until the watermark, ``delay`` behind the newest event, has passed its end;
     rows that come later than that are dropped, and the bucket's state is released.
     """
     window = F.window("event_time", f"{bucket_seconds} seconds")
     counted = rows.withWatermark("event_time", delay).groupBy("region", window).agg(
-        F.count(F.lit(1)).alias("count")
+        F.sum(stands_for(rows)).alias("count")
     )
     bucket = F.floor(F.unix_seconds(F.col("window")["start"]) / bucket_seconds)
     return counted.select("region", bucket.alias("bucket"), "count")

@@ -1,10 +1,12 @@
 import random
+from dataclasses import replace
 
 import pytest
 from helpers import airports, column, events
 from pyspark.sql import functions as F
 
-from skylattice.operators import proximity
+from skylattice.operators import proximity, traffic
+from skylattice.plans.enrich import at_airports, counted_at_airports, prepare
 
 
 def nested_loop(flights, near, radius):
@@ -128,3 +130,47 @@ def test_every_column_counts_for_the_broadcast(spark):
     wide = airports(spark, (50.0, 10.0, "A", "x")).withColumn("note", F.repeat(F.lit("z"), 100_000))
     nested = airports(spark, (50.0, 10.0, "A", "x")).withColumn("note", F.array(F.repeat(F.lit("z"), 100_000)))
     assert min(map(proximity.replicated_bytes, (wide, nested))) > 900_000
+
+
+def summed(rows):
+    """Totals by region of enriched or counted rows."""
+    totals = traffic.traffic_totals(rows, ["region", "country"])
+    numbers = [F.round(c, 6).alias(c) for c in ("rows", "speed", "altitude", "levels", "capacity", "score_tenths", "scored")]
+    return totals.select("region", "country", *numbers)
+
+
+@pytest.mark.parametrize("parts, small, radius", [(1, True, 1.0), (2, False, 2.5), (3, True, 0.1), (4, False, 1.0), (6, True, 2.5), (9, True, 1.0)])
+def test_counted_rows_give_the_sums_of_all_pairs(spark, parts, small, radius):
+    rng = random.Random(parts)
+    kinds = ["large_airport", "medium_airport", "heliport", None]
+    flown = [
+        {"latitude": a, "longitude": o, "icao24": rng.choice(["a", "b", None]), "country": rng.choice(["X", "Y", None])}
+        for a, o in positions(rng, radius, 60)
+    ]
+    flights = prepare(events(spark, *flown))
+    dense = [(rng.uniform(-2, 2) * radius, rng.uniform(-2, 2) * radius) for _ in range(100)]
+    spots = positions(rng, radius, 60) + dense
+    near = airports(spark, *[(a, o, rng.choice(["R", "S", None]), rng.choice(kinds)) for a, o in spots])
+    cells = replace(proximity.counted_cells(near, radius=radius, parts=parts), small=small)
+    counted = counted_at_airports(flights, cells).localCheckpoint()
+    pairs = at_airports(flights, near, radius=radius).localCheckpoint()
+    assert counted.agg(F.sum("airports")).first()[0] == pairs.count() > 150
+    assert same_rows(summed(counted), summed(pairs))
+
+
+def test_rows_of_sums_do_not_grow_with_the_airports(spark):
+    rng = random.Random(3)
+    spots = [(50 + rng.uniform(-1, 1), 10 + rng.uniform(-1, 1), "R", None) for _ in range(3000)]
+    near = airports(spark, *spots)
+    flights = prepare(events(spark, {"latitude": 50.0, "longitude": 10.0}))
+    counted = counted_at_airports(flights, proximity.counted_cells(near)).localCheckpoint()
+    assert counted.agg(F.sum("airports")).first()[0] == 3000
+    assert counted.count() < 600
+
+
+def test_no_airports_and_no_flights(spark):
+    none = airports(spark)
+    alone = counted_at_airports(prepare(events(spark, {})), proximity.counted_cells(none)).collect()
+    assert [(r["airports"], r["base_capacity"], r["region"]) for r in alone] == [(1, 30, "50_10")]
+    nobody = prepare(events(spark, {}).limit(0))
+    assert counted_at_airports(nobody, proximity.counted_cells(none, parts=3)).count() == 0
