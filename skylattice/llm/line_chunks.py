@@ -6,9 +6,10 @@ inserted line shifts none beyond it. Chunks of two or more lines whose hash appe
 compared byte by byte, and every occurrence but the first of a text is removed.
 
 A repeated run goes there only where boundaries enclose it, and a run of two lines may hold none unless
-every line is one. ``drop_repeated_runs``, which the registered query and the pipeline use, is that case:
-divisor one, so that every filled line is a boundary, and hashes rolled over two filled lines. Its chunks
-overlap, equal neighbours join to runs, and every repeated run of two or more filled lines is found whole.
+every line is one. ``drop_repeated_runs``, which the registered query and the pipeline use, finds repeated
+chunks of the filled lines in this way and then completes them: pairs of neighbouring filled lines outside
+these chunks are compared, too, equal neighbours join to runs, and every repeated run of two or more filled
+lines is found whole.
 """
 
 from __future__ import annotations
@@ -35,6 +36,11 @@ def _once(value: Column) -> Column:
 def with_chunks(docs: DataFrame, text: str, window: int = WINDOW, divisor: int = DIVISOR) -> DataFrame:
     """Adds ``lines`` and ``chunks`` (k, first line from 1, last line); none for a null text."""
     rows = docs.withColumn("lines", _once(F.coalesce(F.split(text, "\n", -1), F.array().cast("array<string>"))))
+    return _cut(rows, window, divisor)
+
+
+def _cut(rows: DataFrame, window: int, divisor: int) -> DataFrame:
+    """Adds ``chunks`` of the array ``lines``."""
     rows = rows.withColumn("hashes", _once(F.transform("lines", _line_hash)))
 
     def ends_here(i: Column) -> Column:
@@ -62,10 +68,12 @@ def _lines(c: Column) -> Column:
 def _bodies(chunks: DataFrame, *keys: str) -> DataFrame:
     """One row per chunk with at least two lines that are not blank."""
     filled = lambda c: F.size(F.filter(_lines(c), lambda x: F.trim(x) != "")) > 1
-    body = lambda c: F.struct(c["k"].alias("k"), F.array_join(_lines(c), "\n").alias("body"))
+    body = lambda c: F.struct(
+        c["k"].alias("k"), c["first"].alias("first"), c["last"].alias("last"), F.array_join(_lines(c), "\n").alias("body")
+    )
     found = F.transform(F.filter("chunks", filled), body)
     return chunks.select(*keys, F.explode(found).alias("c")).select(
-        *keys, "c.k", "c.body", F.xxhash64("c.body").alias("code")
+        *keys, "c.k", "c.first", "c.last", "c.body", F.xxhash64("c.body").alias("code")
     )
 
 
@@ -161,7 +169,40 @@ def _pair(k: Column) -> tuple[Column, Column]:
     return tuple(F.get("lines", F.get("filled", k - 1 + t) - 1) for t in range(2))
 
 
-def drop_repeated_runs(docs: DataFrame) -> DataFrame:
+def _same(left: DataFrame, right: DataFrame) -> Column:
+    return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["code_of_text"] == right["code_of_text"])
+
+
+def _in_repeated_chunks(texts: DataFrame, keys: list[str], window: int, divisor: int) -> DataFrame:
+    """``(*keys, k)``: the pairs of neighbouring filled lines inside chunks that occur earlier."""
+
+    def chunked(rows: DataFrame) -> DataFrame:
+        rows = _with_pairs(rows, "text")
+        filled = F.transform("filled", lambda i: F.get("lines", i - 1))
+        return _cut(rows.withColumn("lines", _once(filled)), window, divisor)
+
+    place = F.struct(*keys, "k")
+    codes = materialize(_bodies(chunked(texts), *keys).select(*keys, "k", "code"))
+    repeated = codes.groupBy("code").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a < b")
+    hits = (
+        codes.join(repeated.select("code"), "code")
+        .groupBy(*keys)
+        .agg(F.collect_set("code").alias("codes"))
+        .hint("merge")
+    )
+    suspects = texts.join(hits, _same(texts, hits)).select(*[texts[c] for c in (*keys, "text")], "codes")
+    bodies = materialize(
+        _bodies(chunked(suspects), *keys, "codes")
+        .where(F.array_contains("codes", F.col("code")))
+        .select(*keys, "k", "first", "last", "body")
+    )
+    earliest = bodies.groupBy("body").agg(F.min(place).alias("earliest"))
+    later = bodies.join(earliest, "body").where(F.col("earliest") < place)
+    pairs = F.explode(F.sequence(F.col("first"), F.col("last") - 1))
+    return materialize(later.select(*keys, pairs.alias("k")).distinct())
+
+
+def drop_repeated_runs(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR) -> DataFrame:
     """Like ``drop_repeated_chunks``, but no repeated run of two or more filled lines stays.
 
     A line goes if it and a neighbouring filled line occur earlier as neighbours, too, and blank lines go
@@ -175,28 +216,31 @@ def drop_repeated_runs(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.xxhash64("text").alias("code_of_text"),
     )
-    paired = _with_pairs(docs.select(
+    texts = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.xxhash64("text").alias("code_of_text"),
         F.col("text").cast("string").alias("text"),
-    ), "text")
+    )
+    # These go already. An equal pair is in the first occurrence of their chunk, so they need no comparison.
+    known = _in_repeated_chunks(texts, keys, window, divisor)
+    paired = _with_pairs(texts, "text")
     every = F.when(F.size("filled") > 1, F.sequence(F.lit(1), F.size("filled") - 1))
     coded = F.transform(every, lambda k: F.struct(k.alias("k"), F.xxhash64(*_pair(k)).alias("code")))
-    codes = materialize(paired.select(*keys, F.explode(coded).alias("c")).select(*keys, "c.k", "c.code"))
+    pairs = paired.select(*keys, F.explode(coded).alias("c")).select(*keys, "c.k", "c.code")
+    codes = materialize(pairs.join(known, _same(pairs, known) & (pairs["k"] == known["k"]), "left_anti"))
     place = F.struct(*keys, "k")
     # Repeated rows have equal places, so they do not count as repeats.
     repeated = codes.groupBy("code").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a < b")
     hits = (
         codes.join(repeated.select("code"), "code")
+        .select(*keys, "k")
+        .unionByName(known.select(*keys, F.lit(None).cast("int").alias("k")))
         .groupBy(*keys)
         .agg(F.collect_set("k").alias("ks"))
         .hint("merge")
     )
-    same = lambda left, right: left["doc_id"].eqNullSafe(right["doc_id"]) & (
-        left["code_of_text"] == right["code_of_text"]
-    )
     marked = materialize(
-        rows.join(hits, same(rows, hits), "left").select("row", rows["doc_id"], rows["code_of_text"], "ks")
+        rows.join(hits, _same(rows, hits), "left").select("row", rows["doc_id"], rows["code_of_text"], "ks")
     )
     # Bytes are compared for repeated codes alone.
     suspects = marked.where("ks IS NOT NULL").withColumn("text", F.col("row.text").cast("string"))
@@ -210,6 +254,8 @@ def drop_repeated_runs(docs: DataFrame) -> DataFrame:
     gone = materialize(
         bodies.join(first, "body")
         .where(F.col("first") < place)
+        .select(*keys, "k")
+        .unionByName(known)
         .groupBy(*keys)
         .agg(F.collect_set("k").alias("gone"))
     )
@@ -219,7 +265,7 @@ def drop_repeated_runs(docs: DataFrame) -> DataFrame:
     gone = gone.hint("merge")
     # Chunk k is the filled lines k and k + 1, each with the blank lines after it; sets keep this linear.
     both = F.array_sort(F.array_union("gone", F.transform("gone", lambda k: k + 1)))
-    joined = suspects.join(gone, same(suspects, gone), "left").select(
+    joined = suspects.join(gone, _same(suspects, gone), "left").select(
         "row", "text", F.coalesce(both, F.array().cast("array<int>")).alias("gone")
     )
     cut = _with_pairs(joined, "text")

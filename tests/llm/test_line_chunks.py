@@ -2,6 +2,7 @@ import hashlib
 import random
 
 from llm_cases import documents, hard, sentence
+from pyspark.sql import functions as F
 
 from skylattice.llm import line_chunks
 
@@ -128,3 +129,20 @@ def test_runs_of_hard_rows(spark):
     assert line_chunks.drop_repeated_runs(rows.limit(0)).count() == 0
     plan = got._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_runs_come_from_chunks_and_the_rest_from_pairs(spark):
+    """The chunks' boundaries decide what they find, not what goes in the end."""
+    rng = random.Random(4)
+    passages = [[sentence(rng, 6) for _ in range(rng.randint(2, 9))] for _ in range(8)]
+    texts = ["\n\n".join(sentence(rng, 5) + "\n" + "\n".join(rng.choice(passages)) for _ in range(2)) for _ in range(25)]
+    texts += [texts[0], "\n".join(passages[0] * 2), None, "", " \n\t"]
+    docs = documents(spark, texts)
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("code_of_text"), "text")
+    found = []
+    for divisor in (1, 3, 10**6):
+        found.append(line_chunks._in_repeated_chunks(keyed, ["doc_id", "code_of_text"], 2, divisor).count())
+        got = line_chunks.drop_repeated_runs(docs, divisor=divisor).orderBy("doc_id").collect()
+        assert [r["text"] for r in got] == brute_runs(texts)
+    # With every line a boundary no chunk has two; with none a text is one chunk, and one text is a copy.
+    assert found[0] == 0 < found[2] < found[1]
