@@ -85,6 +85,11 @@ def _tilted(lam: str, size: str, most: int) -> Column:
     return F.least(F.lit(float(most)), F.exp(F.col(lam) * F.col(size)))
 
 
+def _files(rows: int) -> int:
+    """Files for at most that many small rows."""
+    return max(1, -(-rows // CELL_ROWS))
+
+
 def _exact(column: Column) -> Column:
     """A sum that does not depend on the order of its terms."""
     return F.sum(column.cast("decimal(38,6)")).cast("double")
@@ -117,7 +122,9 @@ def duals(classes: DataFrame, goals: DataFrame, most: int = MOST) -> DataFrame:
         F.when(open_, F.when(ratio <= 1, 0.0).otherwise(top)).alias("high"),
         F.coalesce(open_, F.lit(False)).alias("open"),
     )
-    state = materialize(state)
+    # Rounds read these rows over and over; files follow the rows, not the number of shuffle partitions.
+    files = _files(known.count())
+    state = materialize(state.coalesce(files))
     weight = F.col("n") * F.col("size") * _tilted("lam", "size", most)
     inner = F.when(_tilted("lam", "size", most) < most, weight * F.col("size")).otherwise(0.0)
     filled = classes.where("size > 0").withColumnRenamed("source", "in")
@@ -150,7 +157,9 @@ def duals(classes: DataFrame, goals: DataFrame, most: int = MOST) -> DataFrame:
                 low.alias("low"),
                 high.alias("high"),
                 F.coalesce(more, F.lit(False)).alias("open"),
-            ).observe(seen, F.count_if("open").alias("open"))
+            )
+            .observe(seen, F.count_if("open").alias("open"))
+            .coalesce(files)
         )
         if not seen.get["open"]:
             break
@@ -233,10 +242,12 @@ def mix(
         )
     )
     # Cells are ranges of the hash, so the order of a class does not depend on their number.
-    bits = max(CELLS.bit_length() - 1, (rows.count() // cell_rows).bit_length())
+    count = rows.count()
+    bits = max(CELLS.bit_length() - 1, (count // cell_rows).bit_length())
     rows = rows.withColumn("cell", F.shiftright("at", 64 - bits))
     cells = materialize(rows.groupBy("source", "size", "cell").agg(F.count("*").alias("n")))
-    classes = materialize(cells.groupBy("source", "size").agg(F.sum("n").alias("n")))
+    classes = cells.groupBy("source", "size").agg(F.sum("n").alias("n"))
+    classes = materialize(classes.coalesce(_files(count)))
     sized = classes.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("words"))
     solved = duals(classes, targets(sized, weights, most, share), most)
     laid = _laid_out(classes, solved, most, offsets)

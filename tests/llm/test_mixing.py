@@ -154,3 +154,28 @@ def test_places_over_many_partitions(spark):
     got = {r["source"]: r["place"] for r in mixing._numbered(sources).collect()}
     want = sorted(names, key=lambda s: (s is None, (s or "").encode()))
     assert got == {s: i for i, s in enumerate(want)}
+
+
+def test_rows_read_every_round_are_in_few_files(spark, monkeypatch):
+    written = []
+
+    def stored(df):
+        out = materialize(df)
+        written.append((sorted(df.columns), len(out.inputFiles())))
+        return out
+
+    materialize = mixing.materialize
+    monkeypatch.setattr(mixing, "materialize", stored)
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        docs = documents(spark, ["word " * (n % 30) for n in range(90)])
+        docs = docs.withColumn("source", F.concat(F.lit("s"), F.col("doc_id") % 20))
+        assert mixing.mix(docs).count() == 90
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    rounds = [n for columns, n in written if "lam" in columns and "open" in columns]
+    classes = [n for columns, n in written if columns == ["n", "size", "source"]]
+    assert rounds and classes and set(rounds + classes) == {1}
