@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .rows import prepare, slices, texts_of
+from .rows import prepare, releasing, slices, texts_of
 
 UNKNOWN = "und"
 BITS = 12
@@ -200,6 +200,7 @@ def learn(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     order = Window.partitionBy("lang").orderBy("at", "text")
     sample = through.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language)
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = [
@@ -240,6 +241,7 @@ def identify(
     shared = spark.sparkContext.broadcast(model)
     schema = T.StructType([*docs.schema.fields, *added])
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = [counts(text) for text in texts_of(batch, "text")]

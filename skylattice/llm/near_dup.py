@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
-from .rows import materialize, prepare, slices
+from .rows import materialize, prepare, releasing, slices
 
 KEYS = 16
 ROWS = 4
@@ -95,6 +95,7 @@ _SETS = "doc_id bigint, n_shingles bigint, code binary, left array<bigint>, righ
 def signatures(docs: DataFrame, k: int, keys: int = KEYS, rows: int = ROWS) -> DataFrame:
     """Size, 128-bit code and both collections of keys of every document's set."""
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         longs = pa.list_(pa.int64())
@@ -263,6 +264,7 @@ def complete(groups: DataFrame, sets: DataFrame, percent: int, block: int = BLOC
 def shingle_sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     """``(node, shingles)`` of the given nodes only, from their documents' whole texts."""
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for batch in slices(batches):

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rows import prepare, slices, texts_of
+from .rows import prepare, releasing, slices, texts_of
 
 TOKENIZER = "word_bpe_49k.json"
 END = 2  # appended to every document
@@ -184,6 +184,7 @@ def pack(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = word_encoder(path)
         end = np.array([END], dtype="<u4").tobytes()

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -13,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..sources.storage import materialize, shared_dir, write_bytes
 
-__all__ = ["materialize", "shared_dir", "read", "bounded_sample", "prepare", "shared_uri", "count_of", "slices", "texts_of", "spans_text"]
+__all__ = ["materialize", "shared_dir", "read", "bounded_sample", "prepare", "shared_uri", "count_of", "slices", "releasing", "texts_of", "spans_text"]
 
 BATCH_ROWS = 1000
 SURPLUS = 4
@@ -61,6 +64,31 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 250) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
+def release() -> None:
+    """Give memory that is no longer used back to the system, as far as its C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def releasing(run: Callable) -> Callable:
+    """``run`` of a task, whose Python worker holds no freed memory while it waits for another.
+
+    Workers outlive their tasks and stay beside the stages after them, in the same executor's memory.
+    """
+
+    @functools.wraps(run)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return whole
+
+
 def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     return [text or "" for text in batch.column(column).to_pylist()]
 

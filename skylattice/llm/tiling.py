@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rows import materialize, prepare, slices, texts_of
+from .rows import materialize, prepare, releasing, slices, texts_of
 
 MIN_MATCH = 5
 COVERAGE = 0.6
@@ -176,6 +176,7 @@ def _seeds(numbers: np.ndarray, width: int) -> np.ndarray:
 
 
 def _item_seeds(min_match: int):
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             for code, text in zip(batch.column("code").to_pylist(), texts_of(batch, "text")):
@@ -216,6 +217,7 @@ def needed(at: list[int], seed: list[int], common: list[int], n: int, width: int
 
 
 def _needed(coverage: float):
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             for row in batch.to_pylist():
@@ -229,6 +231,7 @@ def _needed(coverage: float):
 
 
 def _doc_seeds(widths: list[int]):
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             ids, codes = batch.column("doc_id").to_pylist(), batch.column("doc_code").to_pylist()
@@ -334,6 +337,7 @@ def contaminated(
         )
     shared = spark.sparkContext.broadcast(block)
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = []
@@ -370,6 +374,7 @@ def clean(
         return row.join(gone, own, "left_anti").select("row.*")
     shared = spark.sparkContext.broadcast(block)
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             hit = [next(shared.value.matches(t, coverage), None) for t in texts_of(batch, "text")]
