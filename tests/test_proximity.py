@@ -41,6 +41,22 @@ def test_equals_the_band_join(spark, radius, small):
     assert same_rows(joined, expected)
 
 
+@pytest.mark.parametrize("small", [True, False])
+@pytest.mark.parametrize("most", [proximity.MAX_PACKED, 0])
+def test_flights_meet_the_airports_of_a_cell_as_one_row(spark, monkeypatch, small, most):
+    monkeypatch.setattr(proximity, "MAX_PACKED", most)
+    rng = random.Random(5)
+    spots = [(50 + rng.uniform(-2, 2), 10 + rng.uniform(-2, 2), rng.choice(["R", None]), None) for _ in range(300)]
+    near = airports(spark, *spots)
+    flights = events(spark, *[{"latitude": 50 + i / 9, "longitude": 10 - i / 9} for i in range(40)], {"latitude": None})
+    joined = proximity.airport_join(flights, near, small=small)
+    assert same_rows(joined, nested_loop(flights, near, 1.0))
+    assert joined.count() > 500
+    # The pairs are listed after the join, which then has a row per flight.
+    assert ("explode(_near" in executed_plan(joined)) == bool(most)
+    assert proximity.packed_cells(near).count() < 70 < proximity.airport_cells(near).count()
+
+
 def matches(spark, flight, *near):
     joined = proximity.airport_join(events(spark, flight), airports(spark, *near))
     return [(r["ap_lat"], r["ap_lon"]) for r in joined.collect()]
