@@ -193,6 +193,19 @@ class MaintainedTables(ResultTables):
             self._rows(spark, name, state.commits)
         )
 
+    def _meeting(
+        self, name: str, state: State, low: int | None, high: int | None
+    ) -> tuple[list[Part], dict[int, dict[str, Part]]]:
+        """Days and commits of a table whose rows can lie in a time range."""
+
+        def meets(part: Part) -> bool:
+            if part.oldest is None:
+                return low is None and high is None
+            return (low is None or part.newest >= low) and (high is None or part.oldest <= high)
+
+        commits = {b: {name: c[name]} for b, c in state.commits.items() if name in c and meets(c[name])}
+        return [p for p in state.days.get(name, []) if meets(p)], commits
+
     def _current(
         self, spark: SparkSession, name: str, state: State, low: int | None = None, high: int | None = None
     ) -> DataFrame:
@@ -201,14 +214,8 @@ class MaintainedTables(ResultTables):
         Equal keys have equal times, so only parts whose range meets that range are opened. Rows of the
         base are not shuffled but dropped where a later batch has their key.
         """
-
-        def meets(part: Part) -> bool:
-            if part.oldest is None:
-                return low is None and high is None
-            return (low is None or part.newest >= low) and (high is None or part.oldest <= high)
-
-        commits = {b: {name: c[name]} for b, c in state.commits.items() if name in c and meets(c[name])}
-        base = self._days(spark, name, [p for p in state.days.get(name, []) if meets(p)])
+        days, commits = self._meeting(name, state, low, high)
+        base = self._days(spark, name, days)
         late = self._rows(spark, name, commits)
         time = F.unix_micros("timestamp")
         if low is not None:
@@ -335,11 +342,15 @@ class MaintainedTables(ResultTables):
 
         Only batches and days that overlap the batch in time are opened for that.
         """
-        new = self._measured(rows, 1)
-        held = self._current(spark, "flight_events", self.state(spark, batch_id), part.oldest, part.newest)
-        keys = list(KEYS["flight_events"])
-        old = self._measured(held.join(rows.select(*keys), keys, "left_semi"), -1)
-        summed = new.unionByName(old).groupBy("country", "measure")
+        change = self._measured(rows, 1)
+        state, name = self.state(spark, batch_id), "flight_events"
+        days, commits = self._meeting(name, state, part.oldest, part.newest)
+        if days or commits:
+            held = self._current(spark, name, state, part.oldest, part.newest)
+            keys = list(KEYS[name])
+            old = self._measured(held.join(rows.select(*keys), keys, "left_semi"), -1)
+            change = change.unionByName(old)
+        summed = change.groupBy("country", "measure")
         return summed.agg(F.sum("amount").cast("decimal(38,9)").alias("amount")).where("amount <> 0")
 
     # --- compaction

@@ -255,3 +255,46 @@ def test_stream_with_compaction_and_restart(spark, tmp_path):
     assert tables.current(spark, "flight_events").count() == 15
     assert column(tables.read(spark, "region_metrics"), "aircraft_count") == [6] * 5
     assert_kpis(spark, tables)
+
+
+def test_totals_open_earlier_rows_only_where_times_meet(spark, tmp_path, monkeypatch):
+    tables = MaintainedTables(str(tmp_path))
+    opened, plain = [], MaintainedTables._current
+
+    def noted(self, *args):
+        opened.append(args[1:])
+        return plain(self, *args)
+
+    monkeypatch.setattr(MaintainedTables, "_current", noted)
+    for b, rows in enumerate(days(2, rewrite=False)):
+        put(spark, tables, rows, b)
+    assert not opened  # days apart
+    put(spark, tables, [flight("p3", 3, altitude=70.0, country="late"), flight("q", DAY)], 2)
+    assert len(opened) == 1
+    tables.compact(spark, keep=0)
+    put(spark, tables, [flight("p4", 4, altitude=90.0)], 3)
+    assert len(opened) == 2
+    assert_kpis(spark, tables)
+
+
+def test_learning_runs_in_few_tasks(spark, tmp_path, monkeypatch):
+    """One row per aircraft, though the shuffles before have many parts."""
+    parts, plain = [], pipeline.isolation_scores
+
+    def noted(newest, **options):
+        parts.append(newest.rdd.getNumPartitions())
+        return plain(newest, **options)
+
+    monkeypatch.setattr(pipeline, "isolation_scores", noted)
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        tables = MaintainedTables(str(tmp_path))
+        process(spark, tables, days(1)[0], 0)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert parts == [spark.sparkContext.defaultParallelism]
+    assert tables.read(spark, "anomaly_logs").count() == 1

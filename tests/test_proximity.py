@@ -190,3 +190,30 @@ def test_no_airports_and_no_flights(spark):
     assert [(r["airports"], r["base_capacity"], r["region"]) for r in alone] == [(1, 30, "50_10")]
     nobody = prepare(events(spark, {}).limit(0))
     assert counted_at_airports(nobody, proximity.counted_cells(none, parts=3)).count() == 0
+
+
+def test_flights_compared_in_their_tasks_give_the_same_sums(spark, monkeypatch):
+    rng = random.Random(11)
+    kinds = ["large_airport", "medium_airport", "heliport", None]
+    dense = [(50 + rng.uniform(-2, 2), 10 + rng.uniform(-2, 2)) for _ in range(300)]
+    spots = dense + positions(rng, 1.0, 40) + [(float("nan"), 10.0), (1e300, 10.0), (None, 10.0)]
+    near = airports(spark, *[(a, o, rng.choice(["R", "S", None]), rng.choice(kinds)) for a, o in spots])
+    flown = [(a + rng.choice([-1, 0, 1]), o + rng.choice([-1, 0, 1])) for a, o in dense] + positions(rng, 1.0, 60)
+    flights = prepare(events(spark, *[{"latitude": a, "longitude": o, "country": rng.choice(["X", None])} for a, o in flown]))
+    joined = proximity.counted_cells(near, parts=1)
+    monkeypatch.setattr(proximity, "DENSE", 0)
+    beside = proximity.counted_cells(near)
+    assert joined.spots is None and beside.spots is not None and proximity.stored_cells(beside) is beside
+    # No cells are joined, and no flight is moved before its sums.
+    counted = counted_at_airports(flights.repartition(3), beside)
+    plan = executed_plan(counted)
+    assert "Join" not in plan and counted.columns == counted_at_airports(flights, joined).columns
+    assert same_rows(summed(counted), summed(counted_at_airports(flights, joined)))
+    assert counted.agg(F.sum("airports")).first()[0] == at_airports(flights, near).count() > 1000
+    moved = events(spark, {"latitude": None}, {"latitude": float("nan")}, {"latitude": 1e300}, {})
+    alone = proximity.counted_join(moved, beside)
+    assert alone.where("iso_region is null and airports = 1 and base_capacity = 30").count() >= 3
+    assert same_rows(
+        alone.groupBy("latitude", "iso_region").agg(F.sum("airports"), F.sum("base_capacity")),
+        proximity.counted_join(moved, joined).groupBy("latitude", "iso_region").agg(F.sum("airports"), F.sum("base_capacity")),
+    )

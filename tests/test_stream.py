@@ -190,3 +190,28 @@ def test_multi_batch_queries_learn_as_the_job_does(spark, small_sf):
     found, filled = (set(column(df, "batch_id")) for df in (logs, stored.read(spark, "region_metrics")))
     assert found == filled and len(found) >= 3 and numbers[1] not in found
     assert logs.count() == logs.dropDuplicates(["batch_id", "icao24"]).count()
+
+
+def test_batches_of_events_in_order_of_time_run_in_many_tasks(spark, tmp_path, monkeypatch):
+    """The events of a day or so in one file each, so that a batch lies in a few of them."""
+    spark.range(0, 6000, numPartitions=12).selectExpr(
+        "id AS event_id", "timestamp_seconds(1704067200 + floor(id * 172.8)) AS ts", "id % 50 AS user_id",
+        "'view' AS event_type", "double(id % 90 + 1) AS value", "'{}' AS props",
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    spark.range(20).selectExpr("id AS s_suppkey", "'s' AS s_name", "int(id) AS s_nationkey", "0D AS s_acctbal").write.parquet(
+        str(tmp_path / "supplier.parquet")
+    )
+    parts = {}
+
+    def noted(rows, batch_id, **_):
+        parts[batch_id] = rows.groupBy(F.spark_partition_id()).count().count()
+
+    monkeypatch.setattr(queries.pipeline, "process_batch", noted)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        queries._batch_run(spark, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        queries._runs.pop((spark.sparkContext.applicationId, str(tmp_path)))
+    filled = [n for n in parts.values() if n]
+    assert len(filled) >= 3 and min(filled) == 8
