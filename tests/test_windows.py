@@ -149,3 +149,20 @@ def test_polls_decode_like_batch_documents(spark, tmp_path):
     want = decode_states(spark.read.text(str(folder)))
     assert want.columns == FLIGHT_EVENT.names
     assert sorted(got) == sorted(map(repr, want.collect())) and len(got) == 36
+
+
+def test_streamed_pairs_hold_the_columns_of_the_query(spark, tmp_path, monkeypatch):
+    from workload import queries
+
+    spark.range(300).selectExpr(
+        "id AS event_id", "timestamp_seconds(1704067200 + id) AS ts", "id % 50 AS user_id",
+        "'view' AS event_type", "double(id % 90 + 1) AS value", "'{}' AS props",
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    suppliers = spark.range(2000).selectExpr("id AS s_suppkey", "'s' AS s_name", "int(id % 25) AS s_nationkey", "0D AS s_acctbal")
+    suppliers.write.parquet(str(tmp_path / "supplier.parquet"))
+    monkeypatch.setattr(queries, "_stream_folder", lambda _: str(tmp_path / "out"))
+    streamed = queries.stream_proximity_join(spark, str(tmp_path))
+    assert spark.read.parquet(str(tmp_path / "out" / "near")).columns == streamed.columns
+    batch = queries.proximity_join(spark, str(tmp_path))
+    assert streamed.where("ap_lat is not null").count() > 1000
+    assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()
